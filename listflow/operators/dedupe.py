@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.base import nz
-from .ranking import first_per_key, numbered, ranked, running, top_n
+from .ranking import ensure_checkpoint_dir, first_per_key, numbered, ranked, running, top_n
 
 
 def listing_key() -> Column:
@@ -57,50 +57,45 @@ def known_first(df: DataFrame, cap: int, op: str = "op_slug", seq: str = "seq")
     return df.where("known").unionByName(taken)
 
 
-def assign_slugs(df: DataFrame, taken: DataFrame, op: str = "op_slug", seq: str = "seq", out: str = "slug") -> DataFrame:
+def assign_slugs(df: DataFrame, taken: DataFrame, op: str = "op_slug", seq: str = "seq", out: str = "slug", bounds: list[float] | None = None) -> DataFrame:
     """Unique slugs: the base for the first row, ``-2``, ``-3`` … after it.
 
     Numbers that stored slugs already use are skipped.  ``taken`` has a ``slug`` column.
+    The ranked rows are checkpointed: three later steps read them.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     based = df.withColumn("_base", X.make_slug("title", op))
-    placed = ranked(based, ["_base"], seq, "_rank")
-    return _skip_taken(placed, taken).withColumn(out, X.numbered_slug("_base", F.col("_n"))).drop("_base", "_rank", "_n")
+    placed = ranked(based, ["_base"], seq, "_rank", bounds).checkpoint()
+    free = _skip_taken(placed, taken).withColumn(out, X.numbered_slug("_base", F.col("_n")))
+    return free.drop("_base", "_rank", "_n")
 
 
 def _skip_taken(placed: DataFrame, taken: DataFrame) -> DataFrame:
-    """The ``_rank``-th number not in use: n such that n minus the used numbers <= n is rank.
+    """Add ``_n``: the ``_rank``-th number of the base that no stored slug uses.
 
-    The used numbers of a base form gaps; each used number u leaves ``u - (its rank)``
-    free numbers before it, so a row lands after exactly the used numbers with fewer
-    free ones before them than its rank.
+    The k-th used number u of a base has ``u - k`` free numbers before it.  A row of rank r
+    therefore stands behind exactly the used numbers with fewer than r free ones before
+    them, which is a running count over the two ordered lists merged.
     """
     tail = F.regexp_extract("slug", r"-(\d{1,9})$", 1)
     stem = F.regexp_replace("slug", r"-\d{1,9}$", "")
-    used = (
-        taken.select(F.explode(F.array(
-            F.struct(F.col("slug").alias("_base"), F.lit(1).cast("bigint").alias("_u")),
-            F.struct(stem.alias("_base"), F.nullif(tail, F.lit("")).try_cast("bigint").alias("_u")),
-        )).alias("x")).select("x.*").where(F.col("_u") >= 1).distinct()
+    readings = F.array(
+        F.struct(F.col("slug").alias("_base"), F.lit(1).cast("bigint").alias("_u")),
+        F.struct(stem.alias("_base"), F.nullif(tail, F.lit("")).try_cast("bigint").alias("_u")),
     )
-    bases = placed.select("_base").distinct()
-    used = used.join(bases, "_base", "left_semi")
-    # free numbers before each used one, per base
-    used = ranked(used, ["_base"], "_u", "_k", 64).select("_base", (F.col("_u") - F.col("_k")).alias("_pos"), F.lit(0).alias("_side"), F.lit(None).cast("bigint").alias("_rank"))
-    asks = placed.select("_base", F.col("_rank").alias("_pos"), F.lit(1).alias("_side"), "_rank").where(F.col("_rank").isNotNull())
+    used = taken.select(F.inline(readings)).where(F.col("_u") >= 1).distinct()
+    used = used.join(placed.select("_base").distinct(), "_base", "left_semi").checkpoint()
+    if used.isEmpty():
+        return placed.withColumn("_n", F.col("_rank"))
+    marks = ranked(used, ["_base"], "_u", "_k").select("_base", ((F.col("_u") - F.col("_k")) * 2).alias("_at"), F.lit(None).cast("bigint").alias("_rank"))
+    marks = marks.groupBy("_base", "_at", "_rank").agg(F.count(F.lit(1)).alias("_w"))
+    asks = placed.select("_base", (F.col("_rank") * 2 - 1).alias("_at"), "_rank", F.lit(0).cast("bigint").alias("_w"))
     asks = asks.join(used.select("_base").distinct(), "_base", "left_semi")
-    # how many used numbers come before the rank: a merge of the two ordered lists
-    both = used.unionByName(asks).withColumn("_o", F.col("_pos") * 2 - F.col("_side")).withColumn("_w", (1 - F.col("_side")).cast("bigint"))
-    both = _unique_order(both)
-    counted = running(both, ["_base"], "_oo", "_w", "_before", 64).where("_side = 1").select("_base", "_rank", "_before")
-    joined = placed.join(counted, ["_base", "_rank"], "left")
+    counted = running(marks.unionByName(asks), ["_base"], "_at", "_w", "_before").where("_rank IS NOT NULL")
+    joined = placed.join(counted.select("_base", "_rank", "_before"), ["_base", "_rank"], "left")
     return joined.withColumn("_n", F.col("_rank") + F.coalesce("_before", F.lit(0))).drop("_before")
 
 
-def _unique_order(df: DataFrame) -> DataFrame:
-    """Ties of used numbers at one position share the order; any order among them is right."""
-    return df.groupBy("_base", "_pos", "_side", "_rank", "_o").agg(F.sum("_w").alias("_w")).withColumnRenamed("_o", "_oo")
-
-
 def archive_pages(pages: DataFrame, target: int, max_pages: int, page_size: int = 100, op: str = "op_slug") -> DataFrame:
     """Pages a newest-first walk reads before it stops, with the stop reason on the last.
 

@@ -7,13 +7,15 @@ with map-side combine, and full ranks through order buckets.
 
 from __future__ import annotations
 
+import math
 import uuid
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SALTS = 64
-BUCKETS = 256
+BUCKETS = 1024
 
 
 def _salt(df: DataFrame, salts: int = SALTS) -> Column:
@@ -66,40 +68,41 @@ def within_cap(df: DataFrame, eligible: Column, order: str, cap: int, out: str)
     return df.withColumn(out, F.coalesce(eligible & (F.col(order) <= cut), F.lit(False)) if cap > 0 else F.lit(False))
 
 
-def order_bounds(df: DataFrame, order: str, buckets: int = BUCKETS) -> list:
+def order_bounds(df: DataFrame, order: str, buckets: int = BUCKETS) -> list[float]:
     """At most ``buckets - 1`` cut values of a numeric order column, from one small aggregate."""
     shares = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(order, shares, 10 * buckets).alias("b")).first()
+    row = df.agg(F.percentile_approx(F.col(order).cast("double"), shares, 10 * buckets).alias("b")).first()
     return sorted(set(row["b"] or []))
 
 
-def _bucket(order: str, bounds: list) -> Column:
-    """Order bucket by binary search, spelled as nested comparisons."""
-    def node(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(F.col(order) < F.lit(bounds[mid]), node(lo, mid)).otherwise(node(mid + 1, hi))
+def _bucketed(df: DataFrame, order: str, bounds: list[float]) -> DataFrame:
+    """Add ``_bucket``, a non-decreasing function of the order (a binary search in the JVM)."""
+    if not bounds:
+        return df.withColumn("_bucket", F.lit(0.0))
+    splits = [-math.inf, *bounds, math.inf]
+    cut = Bucketizer(splits=splits, inputCol="_order", outputCol="_bucket", handleInvalid="keep")
+    return cut.transform(df.withColumn("_order", F.col(order).cast("double"))).drop("_order")
 
-    return node(0, len(bounds))
 
-
-def ranked(df: DataFrame, keys: list[str], order: str, out: str = "rank", buckets: int = BUCKETS) -> DataFrame:
+def ranked(df: DataFrame, keys: list[str], order: str, out: str = "rank", bounds: list[float] | None = None) -> DataFrame:
     """Full 1-based rank of every row within its key by a unique numeric ``order``.
 
     Each key is split into order buckets: ranks are counted inside a bucket, and the
     sizes of the earlier buckets of the key are added.  The hottest task holds about
-    1/``buckets`` of the rows however they spread over the keys.
+    1/``BUCKETS`` of the rows however they spread over the keys.
     """
-    return running(df.withColumn("_one", F.lit(1).cast("bigint")), keys, order, "_one", out, buckets).drop("_one")
+    return running(df.withColumn("_one", F.lit(1).cast("bigint")), keys, order, "_one", out, bounds).drop("_one")
+
 
+def running(df: DataFrame, keys: list[str], order: str, value: str, out: str, bounds: list[float] | None = None) -> DataFrame:
+    """Running total of ``value`` up to and including the row, per key, by ``order``.
 
-def running(df: DataFrame, keys: list[str], order: str, value: str, out: str, buckets: int = BUCKETS) -> DataFrame:
-    """Running total of ``value`` up to and including the row, per key, by ``order``."""
-    cut = df.withColumn("_bucket", _bucket(order, order_bounds(df, order, buckets)))
+    ``bounds`` may come from a cheaper frame with the same spread of order values.
+    """
+    cut = _bucketed(df, order, order_bounds(df, order) if bounds is None else bounds)
     inside = Window.partitionBy(*keys, "_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sizes = cut.groupBy(*keys, "_bucket").agg(F.sum(value).alias("_size"))
-    # one row per (key, bucket): at most ``buckets`` rows share a key
+    # one row per (key, bucket): at most BUCKETS rows share a key
     earlier = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_offset", F.coalesce(F.sum("_size").over(earlier), F.lit(0))).drop("_size")
     local = cut.withColumn("_inside", F.sum(value).over(inside))
