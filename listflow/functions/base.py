@@ -6,7 +6,7 @@ built-in expressions.  Sessions must run with ``spark.sql.session.timeZone=UTC``
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ASCII word boundary: Java's own ``\b`` also treats accented letters as word
@@ -122,3 +122,13 @@ def at(now) -> Column:
 
 def days(n: float) -> Column:
     return F.expr(f"make_dt_interval(0, 0, 0, {float(n) * 86400:.6f})")
+
+
+def with_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that are evaluated once per row, whatever filters read them later.
+
+    A filter on a projected column is pushed below the projection, which repeats an
+    expensive expression; a one-row ``inline`` keeps it where it is.
+    """
+    kept = [F.col(f"`{n}`") for n in df.columns if n not in columns]
+    return df.select(*kept, F.inline(F.array(F.struct(*[e.alias(n) for n, e in columns.items()]))))

@@ -6,40 +6,32 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import rules
-from .base import at, c, instant, nz, trim_ws
+from .base import at, blank_to_null, c, instant, let
 
 LONDON = "Europe/London"
 
 
-def _offset(naive: Column) -> Column:
-    month = F.substring(naive, 6, 2).try_cast("int")
-    return F.when(month.between(4, 9), F.lit("+01:00")).otherwise(F.lit("+00:00"))
-
-
 def normalize_uk_date(raw: str | Column) -> Column:
     """``YYYY-MM-DDTHH:MM:00`` with the month-rule offset; a bare day closes at 20:00.
 
     Any offset of the source is dropped and stamped anew; other texts pass through.
     """
-    text = c(raw)
-    naive = F.regexp_replace(trim_ws(text), r"(?i)(z|[+-]\d{2}:?\d{2})$", "")
-    timed = r"^(\d{4}-\d{2}-\d{2})[T ](\d{1,2}):(\d{2})"
-    stamp = F.concat(
-        F.regexp_extract(naive, timed, 1),
-        F.lit("T"),
-        F.lpad(F.regexp_extract(naive, timed, 2), 2, "0"),
-        F.lit(":"),
-        F.regexp_extract(naive, timed, 3),
-        F.lit(":00"),
-        _offset(naive),
-    )
-    day = F.concat(naive, F.lit(f"T{rules.DEFAULT_TIME}:00"), _offset(naive))
-    return (
-        F.when(nz(text) == "", F.lit(None).cast("string"))
-        .when(naive.rlike(timed), stamp)
-        .when(naive.rlike(r"^\d{4}-\d{2}-\d{2}$"), day)
-        .otherwise(text)
-    )
+    clock = r"^\s*(\d{4}-\d{2}-\d{2})[T ](\d{1,2}:\d{2})[\s\S]*$"
+    bare = r"(?i)^\s*(\d{4}-\d{2}-\d{2})(?:z|[+-]\d{2}:?\d{2})?\s*$"
+
+    def stamp(text: Column) -> Column:
+        # one replacement brings both forms to "day T time"; anything else stays as it is
+        joined = F.regexp_replace(F.regexp_replace(text, clock, "$1T$2"), bare, f"$1T{rules.DEFAULT_TIME}")
+        return let(joined, finish)
+
+    def finish(t: Column) -> Column:
+        summer = F.substring(t, 6, 2).between("04", "09")
+        offset = F.when(summer, F.lit("+01:00")).otherwise(F.lit("+00:00"))
+        time = F.lpad(F.substring(t, 12, 5), 5, "0")
+        ready = t.rlike(r"^\d{4}-\d{2}-\d{2}T\d{1,2}:\d{2}$")
+        return F.when(ready, F.concat(F.substring(t, 1, 11), time, F.lit(":00"), offset)).otherwise(t)
+
+    return let(blank_to_null(raw), stamp)
 
 
 def london_day(ts: str | Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.base import nz
-from .ranking import ensure_checkpoint_dir, first_per_key, numbered, ranked, running, top_n
+from .ranking import ensure_checkpoint_dir, first_per_key, first_per_key_counted, numbered, ranked, running, top_n
 
 
 def listing_key() -> Column:
@@ -32,9 +32,10 @@ def dedupe(df: DataFrame, op: str = "op_slug", seq: list[Column] | None = None,
     """
     keyed = df.withColumn("_key", listing_key()).withColumn("_score", -completeness()).where(F.col("_key").isNotNull())
     order = [F.col("_score"), *(seq or [F.col("seq")])]
-    out = first_per_key(keyed, [op, "_key"], order, "_copies" if dropped else None)
     if dropped:
-        out = out.withColumn(dropped, F.col("_copies") - 1).drop("_copies")
+        out = first_per_key_counted(keyed, [op, "_key"], order, "_copies").withColumn(dropped, F.col("_copies") - 1).drop("_copies")
+    else:
+        out = first_per_key(keyed, [op, "_key"], order)
     return out.drop("_key", "_score")
 
 

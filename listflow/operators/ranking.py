@@ -1,8 +1,8 @@
 """Keyed ranks, caps and running totals that never gather a whole group in one task.
 
 One operator may own a third of all rows, so nothing here sorts a full group in a
-single window.  Top-n goes through salted pre-ranks, first-wins through ``min_by``
-with map-side combine, and full ranks through order buckets.
+single window.  Top-n and first-wins prune on the map side (or by salted pre-ranks), and
+full ranks go through order buckets.
 """
 
 from __future__ import annotations
@@ -16,39 +16,49 @@ from pyspark.sql import functions as F
 
 SALTS = 64
 BUCKETS = 1024
+# Spark prunes every map task to n rows per key before the shuffle up to this n
+# (spark.sql.optimizer.windowGroupLimitThreshold).
+PRUNED_RANKS = 1000
 
 
-def _salt(df: DataFrame, salts: int = SALTS) -> Column:
+def _salt(df: DataFrame) -> Column:
     """A salt that depends on the row's values only, so a retried task repeats it."""
     plain = [F.col(f"`{f.name}`") for f in df.schema if f.dataType.typeName() in _HASHABLE]
-    return F.pmod(F.xxhash64(*plain), F.lit(salts)).cast("int")
+    return F.pmod(F.xxhash64(*plain), F.lit(SALTS)).cast("int")
 
 
 _HASHABLE = {"string", "long", "integer", "short", "byte", "double", "float", "boolean", "date", "timestamp", "decimal", "timestamp_ntz"}
 
 
-def first_per_key(df: DataFrame, keys: list[str], order: list[Column], counter: str | None = None) -> DataFrame:
-    """The first row of every key by ``order`` (a total order), with map-side combine.
+def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """The first row of every key by a total order.
 
-    ``counter`` adds the number of rows that shared the key.
+    The rank limit is applied on the map side as well, so a key that holds a third of all
+    rows sends one row per map task through the shuffle.
     """
+    return top_n(df, keys, order, 1, "_first").drop("_first")
+
+
+def first_per_key_counted(df: DataFrame, keys: list[str], order: list[Column], counter: str) -> DataFrame:
+    """``first_per_key`` that also counts the rows of every key, in one combining aggregate."""
     rest = [n for n in df.columns if n not in keys]
     best = F.min_by(F.struct(*[F.col(f"`{n}`") for n in rest]), F.struct(*order)).alias("_row")
-    aggs = [best] + ([F.count(F.lit(1)).alias(counter)] if counter else [])
-    out = df.groupBy(*keys).agg(*aggs)
-    cols = [F.col("_row")[n].alias(n) if n in rest else F.col(f"`{n}`") for n in df.columns]
-    return out.select(*cols, *([F.col(counter)] if counter else []))
+    out = df.groupBy(*keys).agg(best, F.count(F.lit(1)).alias(counter))
+    return out.select(*[F.col("_row")[n].alias(n) if n in rest else F.col(f"`{n}`") for n in df.columns], F.col(counter))
 
 
 def top_n(df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str = "rank") -> DataFrame:
     """First ``n`` rows of every key by a total order, ranked from 1.
 
-    Two steps: ``n`` per (key, salt) first, then ``n`` of the at most ``SALTS * n`` left.
+    Up to ``PRUNED_RANKS`` the map side keeps n rows per key and task.  Beyond it the rows
+    are ranked per (key, salt) first, so that the last step sees at most ``SALTS * n``.
     """
-    salted = df.withColumn("_salt", _salt(df))
-    part = Window.partitionBy(*keys, "_salt").orderBy(*order)
-    pre = salted.withColumn("_pre", F.row_number().over(part)).where(F.col("_pre") <= n).drop("_pre", "_salt")
-    whole = Window.partitionBy(*keys).orderBy(*order) if keys else Window.partitionBy(F.lit(0)).orderBy(*order)
+    pre = df
+    if n > PRUNED_RANKS:
+        part = Window.partitionBy(*keys, "_salt").orderBy(*order)
+        salted = df.withColumn("_salt", _salt(df)).withColumn("_pre", F.row_number().over(part))
+        pre = salted.where(F.col("_pre") <= n).drop("_pre", "_salt")
+    whole = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*order)
     return pre.withColumn(rank, F.row_number().over(whole)).where(F.col(rank) <= n)
 
 

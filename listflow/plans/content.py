@@ -89,13 +89,13 @@ def archetype(day: str | Column) -> Column:
     return F.get(styles, (F.dayofyear(c(day)) - 1) % len(rules.ARCHETYPES))
 
 
-def soonest(draws: DataFrame, group: list[str], seq: str = "seq") -> DataFrame:
+def soonest(draws: DataFrame, group: list[str], *seq: str) -> DataFrame:
     """The row of every group that closes first; the earliest one on a tie.
 
     Rows without a date are chosen only where a group has no date at all.
     """
     closes = instant("draw_date")
-    return first_per_key(draws, group, [closes.isNull(), closes, F.col(seq)])
+    return first_per_key(draws, group, [closes.isNull(), closes, *[F.col(n) for n in seq or ("seq",)]])
 
 
 def recent_slugs(posts: DataFrame, today: str, within_days: int = 7) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["listings"]
+MODULES = ["listings", "lifecycle"]
 
 
 def load():

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from listflow.functions import rules
 from listflow.functions.dates import normalize_uk_date
+from listflow.operators.ranking import top_n
 
 NOW = "2026-08-01 12:00:00"
 
@@ -15,6 +16,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a small input over all cores before text work.
+
+    A file of few row groups yields few splits; an input with at least one split per core
+    is left as it is, so nothing is shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def view(spark: SparkSession, folder: str, text: str, *names: str) -> DataFrame:
     """Run a shared SQL text on the given tables."""
     return spark.sql(text, **{n: table(spark, folder, n) for n in names})
@@ -57,24 +68,27 @@ OBSERVATIONS_CTE = "observations AS (" + for_duck(OBSERVATIONS, "lineitem", "par
 
 
 def listings(spark: SparkSession, folder: str) -> DataFrame:
-    base = view(spark, folder, LISTINGS, "lineitem", "part")
-    return base.withColumn("draw_date", normalize_uk_date("draw_day"))
+    """Listings with the bare draw day; see ``stamped`` for the stored form."""
+    base = spread(view(spark, folder, LISTINGS, "lineitem", "part"))
+    return base.withColumn("draw_date", F.col("draw_day"))
+
+
+def stamped(df: DataFrame) -> DataFrame:
+    return df.withColumn("draw_date", normalize_uk_date("draw_date"))
 
 
 def observations(spark: SparkSession, folder: str) -> DataFrame:
     """First and second read of every part.
 
-    The two reads are the two least of a total order, so they come from two combining
-    aggregates instead of a window over all reads of a part.
+    Only two reads per part leave a map task, however many reads a part has.
     """
     text = OBSERVATIONS.replace(
         "row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate, ((l_orderkey*10+l_linenumber)*100000+l_partkey)*10000+l_suppkey) AS obs_no",
         "l_shipdate AS read_at, ((l_orderkey*10+l_linenumber)*100000+l_partkey)*10000+l_suppkey AS seq",
     )
-    base = view(spark, folder, text, "lineitem", "part").withColumn("draw_date", normalize_uk_date("draw_day"))
-    from listflow.operators.ranking import top_n
-
-    return top_n(base, ["part_id"], [F.col("read_at"), F.col("seq")], 2, "obs_no")
+    base = view(spark, folder, text, "lineitem", "part")
+    reads = top_n(base, ["part_id"], [F.col("read_at"), F.col("seq")], 2, "obs_no")
+    return reads.withColumn("draw_date", normalize_uk_date("draw_day"))
 
 
 PERMALINK = "lower(regexp_replace(regexp_replace(entry_url, '[#?].*$', ''), '/+$', ''))"

@@ -7,9 +7,10 @@ from listflow.functions.base import number_text
 from listflow.operators import dedupe as D
 from listflow.operators import gates as G
 from listflow.operators import ranking as K
+from listflow.plans import content as C
 from listflow.plans import reports as P
 
-from .inputs import DEDUPED_CTE, GATED_CTE, LISTINGS_CTE, NOW, PERMALINK, listings, table
+from .inputs import DEDUPED_CTE, GATED_CTE, LISTINGS_CTE, NOW, listings, stamped, table
 from .registry import query
 
 
@@ -23,7 +24,7 @@ def _unique(spark, folder, dropped=None):
 
 
 def _gated(spark, folder):
-    return G.gate(_unique(spark, folder), G.GateConfig(now=NOW))
+    return G.gate(stamped(_unique(spark, folder)), G.GateConfig(now=NOW))
 
 
 @query("permalink_dedupe", f"""
@@ -60,7 +61,7 @@ SELECT seq, array_to_string(list_filter([
 FROM unique_listings""")
 def relaxed_gate(spark, folder):
     """Intake of hand-read listings: no cap needed, 90 days ahead."""
-    out = G.relaxed_gate(_unique(spark, folder), G.GateConfig(now=NOW))
+    out = G.relaxed_gate(stamped(_unique(spark, folder)), G.GateConfig(now=NOW))
     return out.select("seq", F.array_join("refused", "; ").alias("refused"))
 
 
@@ -78,11 +79,8 @@ WITH {LISTINGS_CTE}, p AS (SELECT *, row_number() OVER (PARTITION BY op_slug ORD
 SELECT op_slug, seq, draw_day FROM p WHERE rn = 1""")
 def soonest_closing(spark, folder):
     """Listing of every operator that closes first."""
-    from listflow.functions.base import instant
-
-    rows = listings(spark, folder).where("ticket_price > 0")
-    closes = instant("draw_date")
-    out = K.first_per_key(rows, ["op_slug"], [closes.isNull(), closes, F.col("seq"), F.col("tie")])
+    rows = stamped(listings(spark, folder).where("ticket_price > 0"))
+    out = C.soonest(rows, ["op_slug"], "seq", "tie")
     return out.select("op_slug", "seq", "draw_day")
 
 
