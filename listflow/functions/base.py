@@ -29,6 +29,15 @@ def rx(pattern: str, flags: str = "i") -> str:
     return prefix + pattern.replace(r"\b", _BOUNDARY)
 
 
+def rx_words(pattern: str) -> str:
+    """A word-list pattern for lower-case text.
+
+    Its outer boundaries stand next to word characters, where one look-around suffices.
+    """
+    inner = pattern.removeprefix(r"\b").removesuffix(r"\b")
+    return r"(?<!\w)" + rx(inner, "") + r"(?!\w)"
+
+
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once and hand it to ``body``, which may use it many times.
 

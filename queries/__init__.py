@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["listings", "lifecycle"]
+MODULES = ["listings", "lifecycle", "feeds"]
 
 
 def load():
