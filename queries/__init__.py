@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["listings", "lifecycle", "feeds"]
+MODULES = ["listings", "lifecycle", "feeds", "pages"]
 
 
 def load():
