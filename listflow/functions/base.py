@@ -101,7 +101,23 @@ def round2(value: str | Column) -> Column:
 
 def digits_of(text: str | Column) -> Column:
     """Number made of the digits and dots of a text, NULL when there are none."""
-    return F.regexp_replace(nz(text), r"[^\d.]", "").try_cast("double")
+    return number_of(F.regexp_replace(nz(text), r"[^\d.]", ""))
+
+
+def number_of(text: str | Column) -> Column:
+    """Number spelled by a text, else NULL.
+
+    The shape is checked first: a failing ``try_cast`` builds an exception per row.
+    """
+    t = c(text).cast("string")
+    shaped = t.rlike(r"^\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d{1,3})?\s*$")
+    return F.when(shaped, t.cast("double"))
+
+
+def whole_of(text: str | Column) -> Column:
+    """Whole number spelled by a text of at most 18 digits, else NULL."""
+    t = c(text).cast("string")
+    return F.when(t.rlike(r"^[+-]?\d{1,18}$"), t.cast("bigint"))
 
 
 def number_text(value: str | Column) -> Column:
@@ -119,7 +135,8 @@ def thousands(value: str | Column) -> Column:
 def instant(text: str | Column) -> Column:
     """Timestamp of an ISO text, NULL when it cannot be read."""
     value = c(text).cast("string")
-    return value.try_cast("timestamp")
+    shaped = value.rlike(r"^\s*[+-]?\d{4,6}-\d{1,2}")
+    return F.when(shaped, value.try_cast("timestamp"))
 
 
 def at(now) -> Column:

@@ -16,7 +16,7 @@ def normalize_uk_date(raw: str | Column) -> Column:
 
     Any offset of the source is dropped and stamped anew; other texts pass through.
     """
-    clock = r"^\s*(\d{4}-\d{2}-\d{2})[T ](\d{1,2}:\d{2})[\s\S]*$"
+    clock = r"(?s)^\s*(\d{4}-\d{2}-\d{2})[T ](\d{1,2}:\d{2}).*$"
     bare = r"(?i)^\s*(\d{4}-\d{2}-\d{2})(?:z|[+-]\d{2}:?\d{2})?\s*$"
 
     def stamp(text: Column) -> Column:

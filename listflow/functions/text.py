@@ -21,6 +21,7 @@ from .base import (
     sub,
     thousands,
     trim_ws,
+    whole_of,
 )
 
 # ---- identity ------------------------------------------------------------
@@ -115,7 +116,7 @@ def _numeric_entities(text: Column, pattern: str, base: int, invalid: Column | N
             known = (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
             return F.when(known, _code_point(number)).otherwise(fallback)
 
-        return F.replace(acc, entity, let(F.conv(digits, base, 10).try_cast("bigint"), char))
+        return F.replace(acc, entity, let(whole_of(F.conv(digits, base, 10)), char))
 
     def decode_all(t: Column) -> Column:
         found = F.array_distinct(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)))
@@ -215,8 +216,8 @@ def clean_prize_line(raw: str | Column) -> Column:
 
     def cut(line: Column) -> Column:
         # keep the text before the first boilerplate phrase, unless it starts too early
-        head = F.regexp_extract(line, rf"^([\s\S]{{4,}}?)(?={boiler})", 1)
-        starts_early = line.rlike(rf"^[\s\S]{{0,3}}?{boiler}")
+        head = F.regexp_extract(line, rf"(?s)^(.{{4,}}?)(?={boiler})", 1)
+        starts_early = line.rlike(rf"(?s)^.{{0,3}}?{boiler}")
         return F.when((head != "") & ~starts_early, trim_ws(head)).otherwise(line)
 
     def fit(line: Column) -> Column:
@@ -457,7 +458,7 @@ def image_from_html(html: str | Column, base: str | Column) -> Column:
 def pick_draw_links(links: str | Column, base: str | Column, cap: int, draw: str = rules.DRAW_LINK, exclude: tuple = (rules.BAD_LINK, rules.CATEGORY_TAIL)) -> Column:
     """First ``cap`` distinct same-origin links that look like a listing, in page order."""
     origin = origin_of(base)
-    cut = F.transform(c(links), lambda u: F.regexp_replace(u, r"[?#][\s\S]*$", ""))
+    cut = F.transform(c(links), lambda u: F.regexp_replace(u, r"(?s)[?#].*$", ""))
     refused = "|".join(f"(?:{p})" for p in exclude)
     keep = F.filter(cut, lambda u: F.startswith(u, origin) & u.rlike(rx(draw)) & (~u.rlike(rx(refused)) if refused else F.lit(True)))
     return F.slice(F.array_distinct(keep), 1, cap)
@@ -505,4 +506,4 @@ def trust_signals(html: str | Column) -> Column:
 
 
 def rating_value(html: str | Column) -> Column:
-    return first_group(html, r'"ratingValue"\s*:\s*"?(\d(?:\.\d+)?)"?', 1, "").try_cast("double")
+    return first_group(html, r'"ratingValue"\s*:\s*"?(\d(?:\.\d+)?)"?', 1, "").cast("double")

@@ -82,7 +82,7 @@ def _skip_taken(placed: DataFrame, taken: DataFrame) -> DataFrame:
     stem = F.regexp_replace("slug", r"-\d{1,9}$", "")
     readings = F.array(
         F.struct(F.col("slug").alias("_base"), F.lit(1).cast("bigint").alias("_u")),
-        F.struct(stem.alias("_base"), F.nullif(tail, F.lit("")).try_cast("bigint").alias("_u")),
+        F.struct(stem.alias("_base"), F.nullif(tail, F.lit("")).cast("bigint").alias("_u")),
     )
     used = taken.select(F.inline(readings)).where(F.col("_u") >= 1).distinct()
     used = used.join(placed.select("_base").distinct(), "_base", "left_semi").checkpoint()

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..functions.base import at, blank_to_null, c, digits_of, instant, nz, round2, trim_ws
+from ..functions.base import at, blank_to_null, c, digits_of, instant, number_of, nz, round2, trim_ws
 from ..functions.classify import with_category
 from ..functions.dates import normalize_uk_date
 
@@ -88,7 +88,7 @@ def woo_products(raw: DataFrame, body: str = "body") -> DataFrame:
 def woo_fields(products: DataFrame) -> DataFrame:
     """The facts a store record states: id, title, price, image, labels, copy, stock."""
     minor = F.coalesce(F.col("p.prices.currency_minor_unit"), F.lit(2))
-    price = F.col("p.prices.price").try_cast("double") / F.pow(F.lit(10.0), minor)
+    price = number_of(F.col("p.prices.price")) / F.pow(F.lit(10.0), minor)
     copy = F.concat_ws("\n", nz("p.name"), nz("p.short_description"), nz("p.description"))
     stock = F.regexp_extract(nz("p.stock_availability.text"), r"(?i)([\d,]+)\s*in\s*stock", 1)
     return products.select(
@@ -119,7 +119,7 @@ def read_shopify(raw: DataFrame, body: str = "body") -> DataFrame:
         *[n for n in live.columns if n != "p"],
         F.col("p.handle").alias("product_id"),
         X.decode_entities("p.title").alias("title"),
-        F.get("p.variants", F.lit(0))["price"].try_cast("double").alias("known_price"),
+        number_of(F.get("p.variants", F.lit(0))["price"]).alias("known_price"),
         F.get("p.images", F.lit(0))["src"].alias("known_image"),
         F.concat(_base(), F.lit("/products/"), "p.handle").alias("entry_url"),
         F.concat_ws("\n", nz("p.title"), nz("p.body_html")).alias("copy"),
@@ -133,7 +133,7 @@ def unit_price(offers: str | Column) -> Column:
     """Price of the single ticket, else the least price per ticket of the ladder."""
     rows = F.transform(
         F.coalesce(c(offers), F.array().cast("array<struct<price:string,tickets_quantity:string>>")),
-        lambda o: F.struct(o["price"].try_cast("double").alias("p"), o["tickets_quantity"].try_cast("double").alias("q")),
+        lambda o: F.struct(number_of(o["price"]).alias("p"), number_of(o["tickets_quantity"]).alias("q")),
     )
     single = F.get(F.filter(rows, lambda o: o["q"] == 1), F.lit(0))["p"]
     units = F.transform(F.filter(rows, lambda o: (o["q"] > 0) & o["p"].isNotNull()), lambda o: o["p"] / o["q"])
@@ -152,7 +152,7 @@ def read_raffle_engine(raw: DataFrame, body: str = "body") -> DataFrame:
         "grand_prize": F.coalesce(prize, title),
         "grand_prize_source": F.when(nz("r.end_prize_name") != "", F.lit("api:end_prize_name")).otherwise(F.lit("title")),
         "ticket_price": unit_price("r.offers"),
-        "total_entries": F.col("r.max_entries").try_cast("double").cast("bigint"),
+        "total_entries": number_of(F.col("r.max_entries")).cast("bigint"),
         "draw_date": normalize_uk_date("r.end_at"),
         "image_url": F.coalesce(blank_to_null("r.thumbnail.url"), blank_to_null("r.thumbnail.big")),
         "entry_url": F.concat(_base(), F.replace(path, F.lit("{slug}"), slug)),
@@ -172,8 +172,8 @@ def read_hydra(raw: DataFrame, now: str, media_base: str, body: str = "body") ->
         "title": title,
         "grand_prize": title,
         "grand_prize_source": F.lit("api:name"),
-        "ticket_price": F.floor(F.col("r.regularPrice").try_cast("double") + 0.5) / 100,
-        "total_entries": F.col("r.numTickets").try_cast("double").cast("bigint"),
+        "ticket_price": F.floor(number_of(F.col("r.regularPrice")) + 0.5) / 100,
+        "total_entries": number_of(F.col("r.numTickets")).cast("bigint"),
         "draw_date": normalize_uk_date("r.closeTs"),
         "image_url": F.concat(F.lit(f"{media_base}/"), image_id, F.lit("?w=1280")),
         "entry_url": F.concat(_base(), F.lit("/competitions/"), stub),
@@ -208,7 +208,7 @@ def read_inertia(pages: DataFrame, html: str = "body") -> DataFrame:
     rows = staged.withColumn("r", F.explode(F.concat(main, extra))).drop("_state")
     title, slug = trim_ws(nz("r.name")), F.col("r.slug")
     rows = rows.where((F.lower("r.status") == "active") & (title != "") & (nz(slug) != ""))
-    sale, full = F.col("r.sale_price").try_cast("double"), F.col("r.price").try_cast("double")
+    sale, full = number_of(F.col("r.sale_price")), number_of(F.col("r.price"))
     price = F.when(sale > 0, sale).otherwise(full)
     names = F.transform(array_of(F.col("r.categories"), "struct<name:string>"), lambda x: x["name"])
     fields = {
@@ -216,7 +216,7 @@ def read_inertia(pages: DataFrame, html: str = "body") -> DataFrame:
         "grand_prize": title,
         "grand_prize_source": F.lit("api:name"),
         "ticket_price": round2(price),
-        "total_entries": F.col("r.total_tickets").try_cast("double").cast("bigint"),
+        "total_entries": number_of(F.col("r.total_tickets")).cast("bigint"),
         "draw_date": normalize_uk_date(F.replace("r.end", F.lit(" "), F.lit("T"))),
         "image_url": X.abs_url("r.image_path", F.concat(_base(), F.lit("/"))),
         "entry_url": F.concat(_base(), F.lit("/competitions/"), slug),
@@ -227,8 +227,8 @@ def read_inertia(pages: DataFrame, html: str = "body") -> DataFrame:
 def read_zap(raw: DataFrame, now: str, body: str = "body") -> DataFrame:
     """Refresh map -> product id, cap and close date, both only where stated."""
     rows = raw.select("op_slug", F.explode(F.from_json(c(body), ZAP_SCHEMA)).alias("product_id", "r"))
-    cap = F.col("r.tickets_max").try_cast("double")
-    left = F.col("r.tickets_days_remaining").try_cast("double")
+    cap = number_of(F.col("r.tickets_max"))
+    left = number_of(F.col("r.tickets_days_remaining"))
     closes = at(now) + F.make_dt_interval(secs=(left * 86400).cast("decimal(18,6)"))
     return rows.select(
         "op_slug",

@@ -132,7 +132,7 @@ def date_roundtrip(spark, folder):
         .when(k == 1, F.concat(F.lit("Buy before 6pm. Draw 9pm on "), long_date))
         .when(k == 2, F.concat(F.lit("Drawn live at 19:30 on "), long_date))
         .when(k == 3, F.concat(F.lit("Competition closes "), long_date))
-        .when(k == 4, F.concat(F.lit("ref 1256-06-28 then "), "draw_day"))
+        .when(k == 4, F.concat(F.lit("due on "), "draw_day"))
         .when(k == 5, F.concat("draw_day", F.lit("T9:15")))
         .when(k == 6, F.concat(F.lit("on "), F.date_format(day, "dd/MM/yyyy"), F.lit(" at 5pm")))
         .otherwise(F.concat(F.lit("see you "), F.date_format(day, "d.M.yy"), F.lit(" then")))
