@@ -283,7 +283,7 @@ def price_label(price: str | Column) -> Column:
     pence = F.concat(F.floor(p * 100 + 0.5).cast("string"), F.lit("p"))
     whole = F.concat(F.lit("£"), number_text(p))
     full = F.concat(F.lit("£"), F.format_string("%.2f", p))
-    return F.when(p <= 0, F.lit(None).cast("string")).when(p < 1, pence).when(p == F.floor(p), whole).otherwise(full)
+    return F.when(p.isNull() | (p <= 0), F.lit(None).cast("string")).when(p < 1, pence).when(p == F.floor(p), whole).otherwise(full)
 
 
 def odds_label(entries: str | Column) -> Column:
@@ -299,7 +299,8 @@ def category_label(name: str | Column) -> Column:
 
 def money_text(value: str | Column) -> Column:
     """£ with two places, a ``.00`` ending removed."""
-    return F.concat(F.lit("£"), F.regexp_replace(F.format_string("%.2f", c(value).cast("double")), r"\.00$", ""))
+    v = c(value).cast("double")  # a NULL would be formatted as text
+    return F.when(v.isNotNull(), F.concat(F.lit("£"), F.regexp_replace(F.format_string("%.2f", v), r"\.00$", "")))
 
 
 # ---- hashes --------------------------------------------------------------

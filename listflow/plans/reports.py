@@ -147,7 +147,7 @@ def scoreboard(operators: DataFrame, draws: DataFrame, now: str, stale_days: int
         live.alias("live"),
         F.coalesce("added_30d", F.lit(0).cast("bigint")).alias("added_30d"),
         F.coalesce(F.date_format(newest, "yyyy-MM-dd"), F.lit("never")).alias("newest"),
-        F.coalesce(F.format_string("%.1f", F.col("rating").cast("double")), F.lit("—")).alias("rating"),
+        F.when(F.col("rating").isNotNull(), F.format_string("%.1f", F.col("rating").cast("double"))).otherwise(F.lit("—")).alias("rating"),
         F.when((live == 0) & stale, F.lit("PRUNE?")).otherwise(F.lit("")).alias("flag"),
     ).orderBy(F.desc("flag"), F.desc("live"), "name")
 
