@@ -128,6 +128,12 @@ def stalled_operators(draws: DataFrame, disabled: DataFrame, now: str, quiet_day
     return out.withColumn("days_quiet", F.lit(quiet_days)).orderBy(F.desc("live"), "op_slug")
 
 
+def _one_place(value: Column) -> Column:
+    """One decimal place; exact quarters round up, everything else by its binary value."""
+    quarter = value * 4 == F.floor(value * 4)
+    return F.format_number(F.when(quarter, F.floor(value * 10 + 0.5) / 10).otherwise(value), 1)
+
+
 def scoreboard(operators: DataFrame, draws: DataFrame, now: str, stale_days: int = 60) -> DataFrame:
     """Live, added in 30 days, newest row and rating of every operator; ``PRUNE?`` first.
 
@@ -147,7 +153,7 @@ def scoreboard(operators: DataFrame, draws: DataFrame, now: str, stale_days: int
         live.alias("live"),
         F.coalesce("added_30d", F.lit(0).cast("bigint")).alias("added_30d"),
         F.coalesce(F.date_format(newest, "yyyy-MM-dd"), F.lit("never")).alias("newest"),
-        F.when(F.col("rating").isNotNull(), F.format_string("%.1f", F.col("rating").cast("double"))).otherwise(F.lit("—")).alias("rating"),
+        F.coalesce(_one_place(F.col("rating").cast("double")), F.lit("—")).alias("rating"),
         F.when((live == 0) & stale, F.lit("PRUNE?")).otherwise(F.lit("")).alias("flag"),
     ).orderBy(F.desc("flag"), F.desc("live"), "name")
 

@@ -134,12 +134,11 @@ def stalled_operators(spark, folder):
 
 @query("scoreboard", f"""
 WITH {DRAWS_CTE}, {OPS_CTE}, g AS (SELECT op_slug AS slug, count(*) FILTER (status = 'active') AS live, count(*) FILTER (created_at >= TIMESTAMP '{NOW}' - INTERVAL 30 DAY) AS added, max(created_at) AS newest FROM draws GROUP BY 1)
-SELECT name, coalesce(live, 0) AS live, coalesce(added, 0) AS added_30d, coalesce(strftime(newest, '%Y-%m-%d'), 'never') AS newest, coalesce(printf('%.1f', rating), '—') AS rating,
+SELECT name, coalesce(live, 0) AS live, coalesce(added, 0) AS added_30d, coalesce(strftime(newest, '%Y-%m-%d'), 'never') AS newest, coalesce(printf('%.1f', CASE WHEN rating * 4 = floor(rating * 4) THEN floor(rating * 10 + 0.5) / 10 ELSE rating END), '—') AS rating,
   CASE WHEN coalesce(live, 0) = 0 AND (newest IS NULL OR newest < TIMESTAMP '{NOW}' - INTERVAL 60 DAY) THEN 'PRUNE?' ELSE '' END AS flag FROM ops LEFT JOIN g USING (slug)""")
 def scoreboard(spark, folder):
     """Live, added, newest and rating of every operator, prune candidates first."""
     stored, _ = _operators(spark, folder)
-    # a half-up tenth that both engines print alike
     return P.scoreboard(stored, _draws(spark, folder), NOW)
 
 

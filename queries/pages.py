@@ -185,7 +185,7 @@ def page_fields(spark, folder):
         F.when(k == 0, F.concat(ld, others, F.lit("<p>Only "), cap, F.lit(" tickets available in this competition.</p><p>Live draw will take place on "), long_date, F.lit(" at 8pm.</p>")))
         .when(k == 1, F.concat(og, F.lit("<h1>"), title, F.lit("</h1>"), related, F.lit('<div class="summary"><div class="lottery-time-countdown" data-time="'), F.replace("draw_day", F.lit("-"), F.lit("/")), F.lit(' 17:00:00"></div><p>Entries only £'), price, F.lit('</p><div><b class="lty-progress-bar"></b>10 Tickets Sold '), (F.col("total_entries") - 10).cast("string"), F.lit(" remaining</div></div>")))
         .when(k == 2, F.concat(og, F.lit('<h1>Mega Daily Draw</h1><span class="max-tickets">Max Tickets: '), cap, F.lit('</span><h3>Prize Description</h3><p>£500 Cash plus '), title, F.lit('. Good luck!</p><i data-enddate="'), "draw_day", F.lit('T20:00:00"></i><p>from £'), price, F.lit("</p>"), related))
-        .otherwise(F.concat(F.lit("<h1>"), title, F.lit('</h1><img width="10" height="10" src="/img/small.png"><img width="800" height="600" src="/img/big.png"><p>£'), price, F.lit(" per ticket. Prizes galore for everyone.</p><p>12 sold of "), cap, F.lit("</p><p>Closes "), long_date, F.lit("</p>"), others))
+        .otherwise(F.concat(F.lit("<h1>"), title, F.lit('</h1><img width="10" height="10" src="/img/small.png"><img width="800" height="600" src="/img/big.png"><p>£'), price, F.lit(" per ticket. Prizes galore for everyone.</p><p>12 sold of "), cap, F.lit(" </p><p>Closes "), long_date, F.lit("</p>"), others))
     )
     pages = rows.select("seq", "tie", "op_slug", F.lit("Some Comps").alias("op_name"), F.lit("https://op.example").alias("base"), F.lit("https://op.example/product/x").alias("entry_url"), F.concat(F.lit("<html><body>"), html, F.lit("</body></html>")).alias("html"))
     out = P.fields_from_pages(spread(pages), 2026)
