@@ -29,6 +29,20 @@ def rx(pattern: str, flags: str = "i") -> str:
     return prefix + pattern.replace(r"\b", _BOUNDARY)
 
 
+def plain_letters(text: str | Column) -> Column:
+    """Text for number and date patterns: no-break spaces as blanks, accented letters as dots.
+
+    Lengths stay, and Java's fast native ``\\b`` then equals the ASCII word boundary.
+    """
+    blanks = F.translate(nz(text), "\u00a0\u0001", "  ")
+    return F.regexp_replace(blanks, r"[\p{L}\p{N}\p{M}&&[^\p{ASCII}]]", "·")
+
+
+def plain_groups(text: Column, pattern: str, group: int = 1) -> Column:
+    """``all_groups`` on a text that went through ``plain_letters``; "." spans lines."""
+    return F.regexp_extract_all(text, F.lit(f"(?is){pattern}"), F.lit(group))
+
+
 def rx_words(pattern: str) -> str:
     """A word-list pattern for lower-case text.
 

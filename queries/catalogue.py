@@ -329,7 +329,7 @@ WITH c AS (SELECT l_orderkey AS page, ((l_orderkey*10+l_linenumber)*100000+l_par
 SELECT page, 'https://x.example/wp-content/uploads/' || stem || '.jpg' AS url, hint, score, CAST(rank AS INT) AS rank FROM r WHERE rank <= 3""")
 def image_ranking(spark, folder):
     """Best pictures of every page."""
-    rows = spread(table(spark, folder, "lineitem").join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey")))
+    rows = spread(table(spark, folder, "lineitem")).join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
     n = F.col("l_linenumber")
     stem = F.concat(F.when(n == 4, F.concat(F.split("p_name", " ")[1], F.lit("-"))).otherwise(F.lit("f")), F.col("l_suppkey") % 30)
     url = F.concat(F.lit("https://x.example/wp-content/uploads/"), F.when(n == 7, F.lit("logo-")).otherwise(F.lit("")), stem, F.when(n % 2 == 1, F.lit("-300x200.jpg")).otherwise(F.lit(".jpg")))

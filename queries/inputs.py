@@ -27,8 +27,10 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def view(spark: SparkSession, folder: str, text: str, *names: str) -> DataFrame:
-    """Run a shared SQL text on the given tables."""
-    return spark.sql(text, **{n: table(spark, folder, n) for n in names})
+    """Run a shared SQL text on the given tables, the first of them spread over all cores."""
+    frames = {n: table(spark, folder, n) for n in names}
+    frames[names[0]] = spread(frames[names[0]])
+    return spark.sql(text, **frames)
 
 
 def for_duck(text: str, *names: str) -> str:
@@ -69,7 +71,7 @@ OBSERVATIONS_CTE = "observations AS (" + for_duck(OBSERVATIONS, "lineitem", "par
 
 def listings(spark: SparkSession, folder: str) -> DataFrame:
     """Listings with the bare draw day; see ``stamped`` for the stored form."""
-    base = spread(view(spark, folder, LISTINGS, "lineitem", "part"))
+    base = view(spark, folder, LISTINGS, "lineitem", "part")
     return base.withColumn("draw_date", F.col("draw_day"))
 
 

@@ -10,7 +10,7 @@ from listflow.operators import gates as G
 from listflow.operators import reconcile as R
 from listflow.sources import sinks as S
 
-from .inputs import OBSERVATIONS_CTE, for_duck, observations, spread, table, view
+from .inputs import OBSERVATIONS_CTE, for_duck, observations, table, view
 from .registry import query
 
 # Stored and fresh read side by side, as the agreement operator wants them.
@@ -183,7 +183,7 @@ ruled AS (SELECT *, {_duck_rules(rules.CATEGORY_RULES, "h")} AS evidence, {_duck
 
 
 def _titles(spark, folder):
-    return spread(view(spark, folder, TITLES, "lineitem", "part"))
+    return view(spark, folder, TITLES, "lineitem", "part")
 
 
 @query("category_rules", f"""

@@ -188,7 +188,7 @@ def page_fields(spark, folder):
         .otherwise(F.concat(F.lit("<h1>"), title, F.lit('</h1><img width="10" height="10" src="/img/small.png"><img width="800" height="600" src="/img/big.png"><p>£'), price, F.lit(" per ticket. Prizes galore for everyone.</p><p>12 sold of "), cap, F.lit(" </p><p>Closes "), long_date, F.lit("</p>"), others))
     )
     pages = rows.select("seq", "tie", "op_slug", F.lit("Some Comps").alias("op_name"), F.lit("https://op.example").alias("base"), F.lit("https://op.example/product/x").alias("entry_url"), F.concat(F.lit("<html><body>"), html, F.lit("</body></html>")).alias("html"))
-    out = P.fields_from_pages(spread(pages), 2026)
+    out = P.fields_from_pages(pages, 2026)
     return out.select("seq", "tie", "title", "grand_prize", "grand_prize_source", "category", "ticket_price", "total_entries", "draw_date", "image_url")
 
 
@@ -347,7 +347,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, p_name AS title, CASE WHE
 FROM lineitem JOIN part ON l_partkey = p_partkey""")
 def slide_labels(spark, folder):
     """Clean title, price, odds, cash alternative and closing labels."""
-    rows = spread(table(spark, folder, "lineitem").join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey")))
+    rows = spread(table(spark, folder, "lineitem")).join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
     title = F.concat(F.lit("WIN this "), "p_name", F.lit(" - or £2,000 cash + extras (today)!!"))
     copy = F.when(F.col("l_linenumber") == 1, F.concat(F.lit("Car or £"), 1000 + F.col("l_suppkey"))).otherwise(F.lit("Car"))
     closes = F.concat(F.lit("2026-07-31T"), F.lit("20:00:00+01:00"))
