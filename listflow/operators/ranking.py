@@ -8,6 +8,7 @@ full ranks go through order buckets.
 from __future__ import annotations
 
 import math
+import tempfile
 import uuid
 
 from pyspark.ml.feature import Bucketizer
@@ -144,15 +145,18 @@ def numbered(df: DataFrame, order: list[Column], out: str = "position") -> DataF
 
 
 def ensure_checkpoint_dir(spark) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only if unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        import tempfile
+    """The shared folder named by ``spark.checkpoint.dir``.
 
+    Where it is unset, a temporary folder serves a local session; a cluster must name one.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         folder = tempfile.mkdtemp(prefix="listflow-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder
 
 

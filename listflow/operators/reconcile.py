@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions import text as X
-from ..functions.base import at, c, days, instant, number_text, nz, present, round2, when_text
+from ..functions.base import at, c, days, instant, number_text, nz, present, round2, when_text, with_once
 from ..functions.dates import uk_day_key
 from .gates import field_flags
 from .ranking import within_cap
@@ -86,7 +86,7 @@ def with_agreement(
         df = df.withColumn("description", F.coalesce("_own_description", "s_prize_description"))
     stored_category = F.col("s_category_id").isNotNull() & (F.col("s_category_id") != "")
     flags = field_flags(c(evidence) if evidence else F.lit(None).cast("string"), stored_category)
-    df = df.withColumn("flags", flags)
+    df = with_once(df, {"flags": flags})
     moved = _moved()
     ok = image_ok if image_ok is not None else F.lit(True)
     no_day = F.col("_stored_day").isNull() | F.col("_fresh_day").isNull()
@@ -108,9 +108,9 @@ def with_agreement(
             F.concat(F.lit("image not confirmed ("), F.when(ok.isNull(), F.lit("unverified")).otherwise(F.lit("unreachable")), F.lit(")")),
         )
     )
-    df = df.withColumn("reasons", F.concat(own, F.col("flags"), image))
+    drift = present(*[when_text(moved[n], n) for n in COMPARED])
+    df = with_once(df, {"reasons": F.concat(own, F.col("flags"), image), "drift_fields": drift})
     df = df.withColumn("publish", F.size("reasons") == 0)
-    df = df.withColumn("drift_fields", present(*[when_text(moved[n], n) for n in COMPARED]))
     if "s_prize_description" in df.columns:
         df = df.withColumn("description", F.col("_own_description"))
     return df.drop("_stored_day", "_fresh_day", "_fresh_at", "_titles_agree", "_own_description")
@@ -211,7 +211,7 @@ def reconcile(fresh: DataFrame, stored: DataFrame, cfg: ReconcileConfig, evidenc
         .when(status == "draft", F.lit("refresh"))
         .otherwise(F.lit("skip"))
     )
-    df = df.withColumn("action", action)
+    df = with_once(df, {"action": action})
     held = F.array_join("reasons", "; ")
     reason = (
         F.when(F.col("action") == "insert", F.when(F.size("flags") > 0, F.array_join("flags", "; ")).otherwise(F.lit("new")))

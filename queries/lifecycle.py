@@ -359,3 +359,36 @@ def ended_decisions(spark, folder):
     pages = part.where("p_partkey % 4 = 2 AND p_partkey % 3 > 0").select(F.concat(url, F.lit("/")).alias("entry_url"), X.is_finished(text).alias("finished"))
     operators = spark.createDataFrame([("op-0", "woo"), ("op-1", "shopify"), ("op-2", "render")], "slug string, method string")
     return R.ended_decision(stored, operators, feed, pages).select("k", "ended", "why")
+
+
+@query("prize_rederive", """
+SELECT p_partkey AS id, 'Mega Daily Draw' AS old, CASE WHEN p_partkey % 4 < 3 THEN '£500 ' || p_brand || ' prize' ELSE 'Hamper for ' || p_brand END AS new, CASE WHEN p_partkey % 4 < 3 THEN 'api' ELSE 'og' END AS source
+FROM part WHERE p_size % 3 = 0 AND (p_size % 2 = 0 OR p_partkey % 4 = 3)""")
+def prize_rederive(spark, folder):
+    """Concrete prizes for rows that store a slogan: feed by address or slug, else the page."""
+    from listflow.operators.lookups import rederive_prizes
+
+    part, k = table(spark, folder, "part"), F.col("p_partkey")
+    title = F.when(F.col("p_size") % 3 == 0, F.lit("Mega Daily Draw")).otherwise(F.concat(F.lit("Win "), "p_name"))
+    draws = part.select(k.alias("id"), F.lit("op").alias("op_slug"), F.lit("Op").alias("op_name"), title.alias("title"), title.alias("grand_prize"), F.concat(F.lit("https://www.op.example/product/P"), k, F.lit("/?x=1")).alias("entry_url"))
+    copy = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("<b>£500 "), "p_brand", F.lit(" prize.</b> Good luck"))).otherwise(F.lit("Enter now"))
+    feed = part.where(k % 4 < 3).select(
+        F.lit("op").alias("op_slug"), F.when(k % 4 < 2, F.concat(F.lit("http://op.example/product/p"), k)).alias("permalink"), F.when(k % 4 == 2, F.concat(F.lit("p"), k)).alias("slug"), copy.alias("prize_copy")
+    )
+    html = F.concat(F.lit('<meta property="og:description" content="Hamper for '), "p_brand", F.lit('"><p>x</p>'))
+    pages = part.select(F.concat(F.lit("https://www.op.example/product/P"), k, F.lit("/?x=1")).alias("entry_url"), html.alias("html"))
+    return rederive_prizes(draws, feed, pages)
+
+
+@query("dimension_lookup", """
+WITH r AS (SELECT o_orderkey, concat('op-', o_custkey) AS op, CASE o_orderkey % 3 WHEN 0 THEN 'luxury' WHEN 1 THEN 'toys' END AS category FROM orders)
+SELECT r.o_orderkey, c.c_custkey AS operator_id, CASE WHEN category = 'luxury' THEN 'c4' END AS category_id FROM r JOIN customer c ON r.op = concat('op-', c.c_custkey) WHERE c.c_custkey % 5 > 0""")
+def dimension_lookup(spark, folder):
+    """Operator and category ids; rows of unknown operators go, unknown categories stay NULL."""
+    from listflow.operators.lookups import attach_ids
+
+    k = F.col("o_orderkey")
+    rows = table(spark, folder, "orders").select("o_orderkey", F.concat(F.lit("op-"), "o_custkey").alias("op_slug"), F.when(k % 3 == 0, F.lit("luxury")).when(k % 3 == 1, F.lit("toys")).alias("category"))
+    operators = table(spark, folder, "customer").where("c_custkey % 5 > 0").select(F.col("c_custkey").alias("id"), F.concat(F.lit("op-"), "c_custkey").alias("slug"))
+    categories = spark.createDataFrame([(f"c{i}", slug) for i, slug in enumerate(rules.CATEGORIES)], "id string, slug string")
+    return attach_ids(rows, operators, categories).select("o_orderkey", "operator_id", "category_id")

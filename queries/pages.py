@@ -408,7 +408,7 @@ def image_urls(spark, folder):
 
 @query("trust_signals", """
 SELECT page_id, CASE page_id % 3 WHEN 0 THEN lpad(CAST(page_id AS VARCHAR), 8, '1') WHEN 1 THEN lpad(CAST(page_id AS VARCHAR), 8, '2') END AS company_number, page_id % 2 = 0 AS has_terms,
-  CASE WHEN page_id % 4 > 0 THEN 'https://facebook.com/p' || page_id || ',https://www.tiktok.com/@a' ELSE '' END AS socials, CASE WHEN page_id % 5 = 0 THEN 4.5 END AS rating FROM pages""")
+  CASE WHEN page_id % 4 > 0 THEN 'https://facebook.com/p' || page_id || ',https://www.tiktok.com/@a' ELSE '' END AS socials, CASE WHEN page_id % 5 = 0 THEN CAST(4.5 AS DOUBLE) END AS rating FROM pages""")
 def trust_signals(spark, folder):
     """Evidence on captured home pages."""
     pages = spread(table(spark, folder, "pages"))

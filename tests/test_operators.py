@@ -239,3 +239,13 @@ def test_value_line(spark):
     assert line([(15000, "", "")], "car-draws") == "" and line([(50, "", "")], "other") == ""
     rows = [(100000, "Land Rover or £40,000 tax-free cash", ""), (47830, "Jimny", ""), (18757, "Astra", ""), (19746, "S1000RR", ""), (35873, "Harley", "or £15,000 cash"), (5, "or £000 cash", "")]
     assert line(rows, "car-draws") == "£141,000+"
+
+
+def test_missing_category_aborts(spark):
+    from listflow.functions import rules
+    from listflow.operators.lookups import MissingCategories, require_categories
+
+    rows = [(str(i), s) for i, s in enumerate(rules.CATEGORIES)]
+    require_categories(spark.createDataFrame(rows, "id string, slug string"))
+    with pytest.raises(MissingCategories):
+        require_categories(spark.createDataFrame(rows[1:], "id string, slug string"))
