@@ -163,3 +163,13 @@ def ensure_checkpoint_dir(spark) -> str:
 def scratch_path(spark, name: str) -> str:
     """A fresh path for a written table inside the shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialised(df: DataFrame, name: str = "stage") -> DataFrame:
+    """The frame written once as a table in the shared folder and read back.
+
+    Cuts the lineage, survives lost executors, and later readers prune its columns.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -15,7 +15,7 @@ from ..functions import text as X
 from ..functions.base import at, c, days, instant, number_text, nz, present, round2, when_text, with_once
 from ..functions.dates import uk_day_key
 from .gates import field_flags
-from .ranking import within_cap
+from .ranking import materialised, within_cap
 
 COMPARED = ["ticket_price", "total_entries", "draw_date", "title"]
 POOL_LIMIT = 1_000_000_000
@@ -31,6 +31,8 @@ class ReconcileConfig:
     insert_status: str = "draft"
     min_lead_hours: float = 2
     match_key: str = "exact"  # or "permalink"
+    # write the compared rows once: the two caps and the result all read them
+    materialise: bool = True
     judged_sources: tuple = tuple(rules.JUDGED_SOURCES)
 
 
@@ -191,6 +193,8 @@ def reconcile(fresh: DataFrame, stored: DataFrame, cfg: ReconcileConfig, evidenc
     found, status = F.col("s_id").isNotNull(), F.col("s_status")
     df = df.withColumn("_publishable", found & (status == "draft") & F.col("publish") & image_ok & F.lit(cfg.auto_publish))
     df = df.withColumn("_correctable", found & (status == "active") & F.col("correct") & F.lit(cfg.correct_live))
+    if cfg.materialise:
+        df = materialised(df, "reconcile")
     df = within_cap(df, F.col("_publishable"), seq, cfg.publish_cap, "_publishes")
     df = within_cap(df, F.col("_correctable"), seq, cfg.correct_cap, "_corrects")
 
