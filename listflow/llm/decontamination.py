@@ -25,7 +25,7 @@ from .words import hashes, slices, utf8
 SEGMENT, WINDOW, PIECE = 32, 3, 64
 COMMON, FEW = 0.001, 3
 ANSWER = 8
-COSINE, COVER, LCS, ANSWERED, SURE = 0.35, 0.3, 0.6, 0.5, 0.8
+COSINE, COVER, LCS, ANSWERED, SURE = 0.25, 0.3, 0.6, 0.5, 0.8
 TERMS = 256
 _GAPS = bytes(b if 48 <= b < 58 or 97 <= b < 123 or b >= 128 else b + 32 if 65 <= b < 91 else 32 for b in range(256))
 
