@@ -25,7 +25,7 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five words, 0.8): the one with the smallest id, once if it is repeated. Rows without an id stay."""
     gone = near_dup.near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("doc_id")).distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    left = docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
     repeated = fixed(left.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"))
     if repeated.isEmpty():
         return left

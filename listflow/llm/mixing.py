@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from .shared import fixed
 
+#: Documents of a source are ranked in runs of about so many.
+RUN = 250
 
 def quantised(weights: dict, quanta: int) -> dict:
     """Positive whole shares that sum to ``quanta``, by largest remainders; every source gets one at least."""
@@ -79,11 +81,12 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float =
     slots = spark.createDataFrame([(s, int(k), int(t), int(r), int(d), int(share[s])) for s, k, t, r, d in plan], "source string, k int, t long, r long, d long, share long")
 
     # rank within a source: documents before its bucket of the hash, and its place in the bucket
-    bits = max(4, min(40, (sum(n for _, n in total) // 2000 + 1).bit_length()))
-    bucket = F.shiftrightunsigned("h", 64 - bits)
+    bits = spark.createDataFrame([(s, max(0, (n // RUN).bit_length())) for s, n in total], "s3 string, bits int")
+    named = named.join(F.broadcast(bits), named["source"].eqNullSafe(F.col("s3"))).drop("s3")
+    bucket = F.when(F.col("bits") == 0, F.lit(0)).otherwise(F.expr("shiftrightunsigned(h, 64 - bits)"))
     filled = fixed(named.groupBy("source", bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")))
     # counts of buckets in two levels, so that no window holds all buckets of a large source
-    high = F.shiftright("b", bits // 2)
+    high = F.shiftright("b", 12)
     over = filled.groupBy("source", high.alias("hi")).agg(F.sum("n").alias("m"))
     before = Window.partitionBy("source").orderBy("hi").rowsBetween(Window.unboundedPreceding, -1)
     within = Window.partitionBy("source", "hi").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
