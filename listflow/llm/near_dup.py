@@ -142,7 +142,8 @@ def _proposed(kept: Scratch, rows: DataFrame, name: str) -> tuple[DataFrame, Dat
 
 def _confirmed(kept: Scratch, docs: DataFrame, edges: DataFrame, width: int, percent: int, name: str) -> DataFrame:
     ids = edges.select(F.col("m").alias("id")).union(edges.select("c")).distinct()
-    sets = kept.keep(docs.join(ids, "id", "left_semi").mapInArrow(_sets(width), "id long, shingles binary"), f"{name}-sets")
+    # one plan at every size: texts are dealt by id, once in a round, and only those of candidates are read again
+    sets = kept.keep(docs.join(ids.hint("merge"), "id", "left_semi").mapInArrow(_sets(width), "id long, shingles binary"), f"{name}-sets")
     sets = sets.dropDuplicates(["id"]) if not sets.groupBy("id").count().where("count > 1").isEmpty() else sets
     one = edges.join(sets.select(F.col("id").alias("m"), F.col("shingles").alias("x")), "m")
     two = one.join(sets.select(F.col("id").alias("c"), F.col("shingles").alias("y")), "c").select("m", "c", "x", "y")
