@@ -31,7 +31,7 @@ from .shared import fixed, scratch
 from .words import hashes, mix, slices, utf8
 
 U64 = np.uint64
-BLOCK = 1_500_000
+BLOCK = 2_000_000
 SHARD = 1_500_000
 WORDS = 1_000_000
 SPREAD, POWER = 2.0, 0.95
@@ -44,7 +44,7 @@ def pack(x: np.ndarray) -> bytes:
     """An array as compressed bytes, all first bytes first."""
     kind = np.min_scalar_type(int(x.max(initial=0)))
     x = np.ascontiguousarray(x.astype(kind))
-    return bytes([x.itemsize]) + zstandard.ZstdCompressor(level=1).compress(x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes())
+    return bytes([x.itemsize]) + zstandard.ZstdCompressor(level=3).compress(x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes())
 
 
 def unpack(data: bytes) -> np.ndarray:
@@ -153,7 +153,7 @@ def mapped(levels: bytes) -> mmap.mmap:
         return mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
 
 
-_BLOCKS = "block long, ids array<long>, held binary, sizes binary, vocabulary binary, tokens binary"
+_BLOCKS = "block long, ids array<long>, held binary, sizes binary, vocabulary binary, words long, ending long, tokens binary"
 
 
 def _blocks(batches):
@@ -164,8 +164,8 @@ def _blocks(batches):
     def made():
         words, tokens = np.unique(np.concatenate(parts), return_inverse=True)
         return pa.RecordBatch.from_arrays(
-            [pa.array([number]), pa.array([ids], pa.list_(pa.int64())), *(pa.array([x], pa.binary()) for x in (pack(np.array(held)), pack(np.array(sizes)), words.tobytes(), pack(tokens)))],
-            ["block", "ids", "held", "sizes", "vocabulary", "tokens"],
+            [pa.array([number]), pa.array([ids], pa.list_(pa.int64())), *(pa.array([x], pa.binary()) for x in (pack(np.array(held)), pack(np.array(sizes)), words.tobytes())), pa.array([len(words)]), pa.array([int(np.searchsorted(words, END))]), pa.array([pack(tokens)], pa.binary())],
+            ["block", "ids", "held", "sizes", "vocabulary", "words", "ending", "tokens"],
         )
 
     for batch in batches:
@@ -223,33 +223,35 @@ def _answered(shards: int):
     return run
 
 
-def _sent(shards: int, n: int, v: int, texts: int):
-    """Of a block whose words are answered: its pairs by shard, and under shard -1 the base figures of its texts."""
+def _sent(shards: int, n: int, v: int):
+    """Of a block whose words are answered: its pairs by shard, and under a negative shard of its own the ids and base figures of its texts."""
     share = max(1, n // (4 * shards))
 
     def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         row = left.iloc[0]
         tokens, text, held, sizes = _tokens(row)
         right = right.sort_values("shard")
-        words = np.frombuffer(row["vocabulary"], U64)
+        n_words = int(row["words"])
         ids = np.concatenate([unpack(x) for x in right["ids"]])
         count = np.concatenate([unpack(x) for x in right["counts"]])
         base = np.log10((count + 0.5) / (n + 0.5 * (v + 1)))
         first = np.cumsum(sizes) - sizes
         at_base = np.add.reduceat(base[tokens], first)
         n_known = np.add.reduceat((count > 0)[tokens].astype(np.int64), first)
-        out = [(int(row["block"]), -1, b"".join(np.ascontiguousarray(x).tobytes() for x in (at_base, n_known, sizes.astype(np.int64), held.astype(np.int64))))]
+        doc = [None if i is None or i != i else int(i) for i in row["ids"]]
+        figures = (at_base, n_known, sizes, held, [i is None for i in doc], [i or 0 for i in doc])
+        out = [(int(row["block"]), -1 - int(row["block"]), b"".join(np.asarray(x, np.float64 if x is at_base else np.int64).tobytes() for x in figures))]
 
         before = np.empty_like(tokens)
         before[1:] = tokens[:-1]
-        before[first] = np.searchsorted(words, END)  # a text begins behind an end
-        order = np.argsort(before * len(words) + tokens, kind="stable")
-        pair = (before * len(words) + tokens)[order]
+        before[first] = int(row["ending"])  # a text begins behind an end
+        order = np.argsort(before * n_words + tokens, kind="stable")
+        pair = (before * n_words + tokens)[order]
         start = np.flatnonzero(np.diff(pair, prepend=-1))
         where = text[order]
         seen = np.add.reduceat((~held[where]).astype(np.int64), start)
         size = np.diff(np.append(start, len(pair)))
-        b, w = np.divmod(pair[start], len(words))
+        b, w = np.divmod(pair[start], n_words)
         # a context with many tokens is split by its next word
         split = 1 + count[b] // share
         part = mix(ids[w].astype(U64) + U64(1)) % split.astype(U64)
@@ -276,7 +278,9 @@ def _fields(data: bytes) -> tuple[int, list[np.ndarray]]:
 
 
 def _scored(pdf: pd.DataFrame) -> pd.DataFrame:
-    """A shard: sum its pairs, build and map its trie, look the pairs of each block up, and sum codes by text."""
+    """A shard: sum its pairs, build and map its trie, look the pairs of each block up, and sum codes by text. A block's own figures pass."""
+    if pdf["shard"].iloc[0] < 0:
+        return pdf
     read = [_fields(x) for x in pdf["data"]]
     b, w, seen, count, lone = (np.concatenate([f[k] for _, f in read]) for k in range(5))
     order = np.lexsort((w, b))
@@ -301,23 +305,24 @@ def _scored(pdf: pd.DataFrame) -> pd.DataFrame:
         sums = np.zeros(texts, np.int64)
         np.add.at(sums, f[6], np.repeat(code, f[5]))
         some = np.flatnonzero(sums)
-        out.append((int(block), pdf["shard"].iloc[0], np.concatenate([some, sums[some]]).astype(np.int64).tobytes()))
+        low = int(sums.min())
+        fields = [pack(np.diff(some, prepend=0)), pack(sums[some] - low)]
+        out.append((int(block), pdf["shard"].iloc[0], np.array([low, len(fields[0])], np.int64).tobytes() + b"".join(fields)))
     return pd.DataFrame(out, columns=["block", "shard", "data"])
 
 
 def _gathered(train_tokens: int):
-    def run(key, blocks: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
-        ids = blocks["ids"].iloc[0]
-        texts = len(ids)
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("shard")
+        figures = pdf["data"].iloc[0]
+        texts = len(figures) // 48
+        base = np.frombuffer(figures, np.float64, texts)
+        n_known, sizes, held, none, ids = np.frombuffer(figures, np.int64, offset=8 * texts).reshape(5, texts)
         total = np.zeros(texts, np.int64)
-        for shard, data in zip(parts["shard"], parts["data"], strict=True):
-            x = np.frombuffer(data, np.int64)
-            if shard < 0:
-                base = np.frombuffer(data, np.float64, texts)
-                n_known, sizes, held = x[texts:].reshape(3, texts)
-            else:
-                total[x[: len(x) // 2]] += x[len(x) // 2 :]
-        return pd.DataFrame({"doc_id": pd.array([None if i is None or i != i else int(i) for i in ids], "Int64"), "held_out": held.astype(bool), "n_tokens": sizes, "n_known": n_known, "train_tokens": train_tokens, "base_score": base, "score": total / STEPS})
+        for data in pdf["data"].iloc[1:]:
+            low, size = np.frombuffer(data, np.int64, 2)
+            total[np.cumsum(unpack(data[16 : 16 + size]))] += unpack(data[16 + size :]) + low
+        return pd.DataFrame({"doc_id": pd.array(ids, "Int64").copy() if not none.any() else pd.Series(pd.array(ids, "Int64")).mask(none.astype(bool)), "held_out": held.astype(bool), "n_tokens": sizes, "n_known": n_known, "train_tokens": train_tokens, "base_score": base, "score": total / STEPS})
 
     return run
 
@@ -346,8 +351,9 @@ def score_corpus(docs: DataFrame, held: Column | None = None, id_col: str = "doc
         answers = kept.keep(asked.groupBy("shard").applyInPandas(_answered(few), "block long, shard int, ids binary, counts binary, n long, v long"), "answers")
         n, v = answers.where("block is null").select(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
         shards = max(12, tokens // SHARD)
-        sent = kept.keep(blocks.groupBy("block").cogroup(answers.where("block is not null").groupBy("block")).applyInPandas(_sent(shards, int(n), int(v), 0), "block long, shard int, data binary").repartition("shard"), "sent")
-        sums = sent.where("shard >= 0").groupBy("shard").applyInPandas(_scored, "block long, shard int, data binary")
-        parts = kept.keep(sums.union(sent.where("shard < 0")), "sums")
+        own = blocks.select("block", "ids", "held", "sizes", "words", "ending", "tokens").groupBy("block")
+        message = "block long, shard long, data binary"
+        sent = own.cogroup(answers.where("block is not null").groupBy("block")).applyInPandas(_sent(shards, int(n), int(v)), message)
+        parts = sent.groupBy("shard").applyInPandas(_scored, message)
         kind = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-        return fixed(blocks.select("block", "ids").groupBy("block").cogroup(parts.groupBy("block")).applyInPandas(_gathered(int(n)), kind))
+        return fixed(parts.groupBy("block").applyInPandas(_gathered(int(n)), kind))

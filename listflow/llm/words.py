@@ -14,7 +14,7 @@ import numpy as np
 
 U64 = np.uint64
 #: Bytes taken at a time; longer texts are cut between words.
-PIECE = 2 << 20
+PIECE = 1 << 20
 _GAP = re.compile(rb"[\x20\x09-\x0d]")
 _LOWER = bytes(b + 32 if 65 <= b < 91 else b for b in range(256))
 _MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)
