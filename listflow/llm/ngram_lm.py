@@ -99,7 +99,7 @@ class EliasFano:
             less = self.at(mid) < key[open_]
             start[open_] = np.where(less, mid + 1, start[open_])
             stop[open_] = np.where(less, stop[open_], mid)
-        return start
+        return np.minimum(start, high)
 
 
 class Trie:

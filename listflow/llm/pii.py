@@ -200,12 +200,12 @@ def labelled_table(spark: SparkSession, seed: int = 5) -> DataFrame:
     word = lambda: "".join(rng.choice(parts, rng.integers(1, 5)))
     code = lambda: "".join(rng.choice(list(hexes if rng.random() < 0.7 else hexes + "ghijklmnopqrstuvwxyzABCDEFGHIJKLMN"), rng.integers(10, 33)))
 
-    def filler(n: int) -> list[tuple[str, str]]:
+    def filler(n: int, begins: bool = True) -> list[tuple[str, str]]:
         style, out = rng.integers(0, 5), []
         for k in range(n):
             w = word()
             w = w.upper() + "!!" * int(rng.random() < 0.5) if style == 0 else w + "*&$#%"[rng.integers(5)] * 3 if style == 1 else w
-            w = w.capitalize() if style > 1 and (k == 0 or rng.random() < 0.15) else w
+            w = w.capitalize() if style > 1 and (k == 0 and begins or rng.random() < 0.08) else w
             w = str(rng.integers(1, 99999)) if rng.random() < 0.03 else w + rng.choice(["", "", "", ",", "."])
             out.append((w, "O"))
         return out
@@ -226,7 +226,7 @@ def labelled_table(spark: SparkSession, seed: int = 5) -> DataFrame:
             line += [(cue, "O"), (word().capitalize(), "O")]
         elif rng.random() < 0.3:
             line += [(str(x), "O") for x in rng.choice(["x=1", "user@mail.example.com", "+1", "(555)", "555-1234", "10.0.0.1", "page=2", "12:30", "name", "the", "key", "note:", "is", "my", "by"], 3)]
-        line += filler(int(rng.integers(0, 7)))
+        line += filler(int(rng.integers(0, 7)), not line[-1][0][-1].isalnum())
         rows += [(s, i, w, t) for i, (w, t) in enumerate(line)]
     return spark.createDataFrame([(int(s), int(i), str(w), t) for s, i, w, t in rows], "sentence long, position long, word string, tag string")
 

@@ -174,6 +174,8 @@ class WarcReader(DataSourceReader):
         }
 
     def read(self, part):
+        if part is None:  # Spark's stand-in where there is nothing to read
+            return
         files, _ = _files(self.path)
 
         def wanted(h):
