@@ -29,38 +29,44 @@ def segments(x: np.ndarray, parts: int) -> np.ndarray:
     return np.hstack([total / np.sqrt(size), spread])
 
 
-def _exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Integer inner products; beyond 2**53 with Python's integers."""
-    top = float(np.abs(q).max()) * float(np.abs(x).max()) * x.shape[1]
-    if top < 2**53:
-        return np.rint((q * x).sum(1)).astype(np.int64)
-    return np.array([sum(int(a) * int(b) for a, b in zip(u, v, strict=True)) for u, v in zip(q, x, strict=True)], dtype=object)
+def _dot(q: np.ndarray, x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """x[at] @ q; over all rows if most are asked for, which spares the copy."""
+    return (x @ q)[at] if 2 * len(at) > len(x) else x[at] @ q
 
 
-def best(q_id: np.ndarray, q: np.ndarray, x_id: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _exact(q: np.ndarray, x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Integer inner products of rows; beyond 2**53 with Python's integers, held to the range of a long."""
+    if float(np.abs(q).max()) * float(np.abs(x).max()) * x.shape[1] < 2**53:
+        return _dot(q, x, at)
+    return np.array([max(-(2**63), min(2**63 - 1, sum(int(a) * int(b) for a, b in zip(q, x[i], strict=True)))) for i in at], dtype=object)
+
+
+def best(q_id: np.ndarray, q: np.ndarray, x_id: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
     """(query row, candidate row, score) of each query's k best in one cell, its own id left out; ties to smaller ids."""
     order = np.argsort(x_id, kind="stable")
     x_id, x = x_id[order], x[order]
     slack = 1 + 1e-9 * float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * x.shape[1]
     coarse = segments(q, LEVELS[0]) @ segments(x, LEVELS[0]).T + slack
     fine_q, fine_x = segments(q, LEVELS[1]), segments(x, LEVELS[1])
-    out = []
+    rows, found, scores = [], [], []
     for i in range(len(q)):
         own = coarse[i]
-        own[x_id == q_id[i]] = -np.inf
-        usable = np.flatnonzero(own > -np.inf)
-        if not len(usable):
-            continue
-        seeds = usable if len(usable) <= 4 * k else usable[np.argpartition(-own[usable], 4 * k - 1)[: 4 * k]]
-        score = _exact(q[i][None, :].repeat(len(seeds), 0), x[seeds])
-        floor = np.sort(score)[-min(k, len(score))] if len(score) >= k else -np.inf
-        left = usable[own[usable] >= floor]
-        left = left[fine_x[left] @ fine_q[i] + slack >= floor]
-        score = _exact(q[i][None, :].repeat(len(left), 0), x[left])
-        top = sorted(range(len(left)), key=lambda j: (-score[j], x_id[left[j]]))[:k]
-        out += [(i, left[j], int(score[j])) for j in top]
-    rows = np.array([r[0] for r in out], int), np.array([order[r[1]] for r in out], int)
-    return *rows, [r[2] for r in out]
+        own[np.searchsorted(x_id, q_id[i], "left") : np.searchsorted(x_id, q_id[i], "right")] = -np.inf
+        many = min(4 * k, len(own))
+        seeds = np.argpartition(-own, many - 1)[:many]
+        seeds = seeds[own[seeds] > -np.inf]
+        score = _exact(q[i], x, seeds)
+        # nothing below the k-th best exact score so far can be among the k best
+        floor = np.sort(score)[-k] if len(score) >= k else -np.inf
+        left = np.flatnonzero((own >= floor) & (own > -np.inf))
+        left = left[_dot(fine_q[i], fine_x, left) + slack >= floor]
+        score = _exact(q[i], x, left)
+        good = np.flatnonzero(score >= floor)
+        good = good[np.lexsort((x_id[left[good]], -score[good]))[:k]] if score.dtype != object else sorted(good, key=lambda j: (-score[j], x_id[left[j]]))[:k]
+        rows += [i] * len(good)
+        found += [order[left[j]] for j in good]
+        scores += [int(score[j]) for j in good]
+    return np.array(rows, int), np.array(found, int), scores
 
 
 def _cell(k: int):
@@ -83,7 +89,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256,
     Components become floor(scale * x). Vectors that are null, empty, or hold null or non-finite components take no part,
     nor do rows without an id. A query meets vectors of its own length only and no row of its own id. Ties go to the
     smaller vec_id; a row that is repeated counts once, and a query id with several vectors gets the best of all. An empty
-    table gives an empty table; other columns are not looked at. Scores must fit a long.
+    table gives an empty table; other columns are not looked at. Scores beyond a long count as its nearest value.
     """
 
     def whole(df: DataFrame) -> DataFrame:
