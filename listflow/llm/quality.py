@@ -156,7 +156,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not chosen:
         return fit([], np.empty(0))
     ids = docs.sparkSession.createDataFrame(sorted(chosen), "id long, label int")
-    rows = sorted({(r["id"], r["label"], r["text"]) for r in texts.join(ids, "id").select("id", "label", "text").collect()})
+    # at most 2 * per_class ids
+    rows = sorted({(r["id"], r["label"], r["text"]) for r in texts.join(F.broadcast(ids), "id").select("id", "label", "text").collect()})
     return fit([r[2].encode() for r in rows], np.array([r[1] for r in rows]))
 
 
