@@ -152,7 +152,7 @@ def ensure_checkpoint_dir(spark) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if not (context.master == "local" or context.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         folder = tempfile.mkdtemp(prefix="listflow-checkpoint-")
     if context.getCheckpointDir() is None:

@@ -181,9 +181,11 @@ def description_checks(rows: DataFrame, text: str = "description", seq: str = "s
 
     Two descriptions are copies when they agree in all words once figures, punctuation and
     case are ignored.  Copies are found by grouping on that text, so nothing is paired up.
+    A text without words has no copies.
     """
     plain = F.trim(F.regexp_replace(F.lower(nz(text)), r"[^\p{L}]+", " "))
-    keyed = rows.withColumn("_print", F.sha2(plain, 256))
+    # a key of its own for a text without words: no evidence, and no hot key
+    keyed = rows.withColumn("_print", F.when(plain != "", F.sha2(plain, 256)).otherwise(F.concat(F.lit("-"), F.col(seq).cast("string"))))
     first = keyed.groupBy("_print").agg(F.min(seq).alias("copy_of"))
     joined = keyed.join(first, "_print")
     template = matches(text, "|".join(f"(?:{p})" for p in rules.TEMPLATE_FRAMES), "")

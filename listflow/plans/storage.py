@@ -19,24 +19,16 @@ class ThinReferenceScan(RuntimeError):
     """The reference scan found too little to be trusted; nothing may be deleted."""
 
 
-def reference_columns(table: DataFrame, prefix: str, sample: int = 200) -> list[str]:
-    """String columns that show a bucket address in a small sample.  Errors are not caught."""
-    texts = [f.name for f in table.schema if f.dataType.typeName() == "string"]
-    if not texts:
-        return []
-    probe = table.select(*[X.object_path_from_url(F.col(f"`{n}`"), prefix).isNotNull().alias(n) for n in texts]).limit(sample)
-    row = probe.agg(*[F.max(F.col(f"`{n}`")).alias(n) for n in texts]).first()
-    return [n for n in texts if row[n]]
-
-
 def referenced_paths(tables: dict[str, DataFrame], prefix: str) -> DataFrame:
-    """Distinct bucket paths that any table still points at.  Any read failure aborts."""
+    """Distinct bucket paths in any string column of any row.  Any read failure aborts."""
     parts = []
     for table in tables.values():
-        for name in reference_columns(table, prefix):
-            parts.append(table.select(X.object_path_from_url(F.col(f"`{name}`"), prefix).alias("path")))
+        texts = [f.name for f in table.schema if f.dataType.typeName() == "string"]
+        if texts:
+            paths = [F.struct(X.object_path_from_url(F.col(f"`{n}`"), prefix).alias("path")) for n in texts]
+            parts.append(table.select(F.inline(F.array(*paths))))
     if not parts:
-        raise ThinReferenceScan("no table points into the bucket")
+        raise ThinReferenceScan("no table has a text column")
     return reduce(DataFrame.unionByName, parts).where("path IS NOT NULL").distinct()
 
 

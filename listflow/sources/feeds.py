@@ -197,15 +197,16 @@ def array_of(json: Column, schema: str) -> Column:
 
 
 def read_inertia(pages: DataFrame, html: str = "body") -> DataFrame:
-    """Page-state attribute; the featured list repeats the main one, the first wins."""
+    """Page-state attribute; the main list, then the featured one.  The first of an id (or slug) wins, rows with neither go."""
     staged = pages.withColumn("_state", data_page(html)).drop(html)
     main = array_of(F.get_json_object("_state", "$.props.competitions"), _INERTIA_ROW)
     featured = array_of(F.get_json_object("_state", "$.props.featuredCompetitions"), _INERTIA_ROW)
-    key = lambda r: F.coalesce(r["id"], r["slug"])
     # both lists are one page's own, so the repeat check stays inside the row
-    main_keys = F.transform(main, key)
-    extra = F.filter(featured, lambda r: ~F.coalesce(F.array_contains(main_keys, key(r)), F.lit(False)))
-    rows = staged.withColumn("r", F.explode(F.concat(main, extra))).drop("_state")
+    every = F.concat(main, featured)
+    key = lambda r: F.coalesce(r["id"], r["slug"])
+    keys = F.transform(every, key)
+    once = F.filter(every, lambda r, i: F.coalesce(F.array_position(keys, key(r)) == i + 1, F.lit(False)))
+    rows = staged.withColumn("r", F.explode(once)).drop("_state")
     title, slug = trim_ws(nz("r.name")), F.col("r.slug")
     rows = rows.where((F.lower("r.status") == "active") & (title != "") & (nz(slug) != ""))
     sale, full = number_of(F.col("r.sale_price")), number_of(F.col("r.price"))
