@@ -13,7 +13,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``. Only a local session without that setting gets a folder of its own."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local["):
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="listflow-")
         spark.conf.set("spark.checkpoint.dir", folder)
