@@ -29,7 +29,11 @@ def referenced_paths(tables: dict[str, DataFrame], prefix: str) -> DataFrame:
             parts.append(table.select(F.inline(F.array(*paths))))
     if not parts:
         raise ThinReferenceScan("no table has a text column")
-    return reduce(DataFrame.unionByName, parts).where("path IS NOT NULL").distinct()
+    found = reduce(DataFrame.unionByName, parts).where("path IS NOT NULL")
+    # ends at the first path; without any, all objects would look unused
+    if found.isEmpty():
+        raise ThinReferenceScan("no table points into the bucket")
+    return found.distinct()
 
 
 def check_reference_ratio(referenced: DataFrame, objects: DataFrame, floor: float = MIN_REF_RATIO) -> float:
