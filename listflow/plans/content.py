@@ -105,9 +105,9 @@ def recent_slugs(posts: DataFrame, today: str, within_days: int = 7) -> DataFram
 
 
 def last_category(posts: DataFrame, today: str, within_days: int = 3) -> DataFrame:
-    """Category of the latest post that has one."""
+    """Category of the latest post that has one; on a tie of day and format the last by name."""
     recent = posts.where((F.col("date") >= F.date_sub(F.lit(today).cast("date"), within_days)) & F.col("category").isNotNull())
-    return recent.agg(F.max_by("category", F.struct("date", "format")).alias("category"))
+    return recent.agg(F.max(F.struct("date", "format", "category"))["category"].alias("category"))
 
 
 def rank_images(candidates: DataFrame, page: str = "page", limit: int = 6) -> DataFrame:

@@ -39,8 +39,8 @@ def _draws(spark, folder):
 
 
 def _operators(spark, folder):
-    """Stored operators (numbers up to 209) and configured ones."""
-    numbers = table(spark, folder, "customer").where("c_custkey < 210")
+    """Stored operators and configured ones."""
+    numbers = table(spark, folder, "customer")
     slug = F.concat(F.lit("op-"), "c_custkey")
     stored = numbers.select(slug.alias("slug"), F.col("c_name").alias("name"), F.when(F.col("c_custkey") % 3 > 0, F.round(F.col("c_acctbal") / 1000, 2)).alias("rating"))
     config = numbers.where("c_custkey % 7 > 0").select(
@@ -51,7 +51,7 @@ def _operators(spark, folder):
     return stored, config.unionByName(extra)
 
 
-OPS_CTE = """ops AS (SELECT c_custkey AS n, concat('op-', c_custkey) AS slug, c_name AS name, CASE WHEN c_custkey % 3 > 0 THEN round(c_acctbal / 1000, 2) END AS rating FROM customer WHERE c_custkey < 210)"""
+OPS_CTE = """ops AS (SELECT c_custkey AS n, concat('op-', c_custkey) AS slug, c_name AS name, CASE WHEN c_custkey % 3 > 0 THEN round(c_acctbal / 1000, 2) END AS rating FROM customer)"""
 STATS_CTE = f"""{DRAWS_CTE}, {OPS_CTE},
 stats AS (SELECT op_slug AS slug, count(*) AS total, count(*) FILTER (status = 'draft') AS draft, count(*) FILTER (status = 'ended') AS ended,
    count(*) FILTER (status = 'active' AND {CLOSES} > TIMESTAMP '{NOW}') AS live, max(created_at) AS last_insert, max(draw_day) AS last_day FROM draws GROUP BY 1)"""
@@ -96,18 +96,18 @@ def coverage_totals(spark, folder):
 
 
 @query("health_report", """
-WITH c AS (SELECT concat('op-', o_custkey % 300) AS slug, count(*) AS scraped, count(*) FILTER (o_orderstatus <> 'P') AS inserted, count(*) FILTER (o_orderstatus = 'O') AS published, count(*) FILTER (o_orderstatus = 'F') AS held FROM orders WHERE o_custkey % 9 > 0 GROUP BY 1),
- e AS (SELECT concat('op-', c_custkey) AS slug FROM customer WHERE c_custkey < 300),
+WITH c AS (SELECT concat('op-', o_custkey % 300) AS slug, count(*) AS scraped, count(*) FILTER (o_orderstatus <> 'P') AS inserted, count(*) FILTER (o_orderstatus = 'O') AS published, count(*) FILTER (o_orderstatus = 'F') AS held FROM orders GROUP BY 1),
+ e AS (SELECT concat('op-', c_custkey) AS slug FROM customer),
  j AS (SELECT coalesce(c.slug, e.slug) AS slug, coalesce(scraped, 0) AS scraped, coalesce(inserted, 0) AS inserted, coalesce(published, 0) AS published, coalesce(held, 0) AS held, c.slug IS NULL AS silent FROM c FULL JOIN e USING (slug))
 SELECT slug, CAST(sum(scraped) AS BIGINT) AS scraped, CAST(sum(inserted) AS BIGINT) AS inserted, CAST(sum(published) AS BIGINT) AS published, CAST(sum(held) AS BIGINT) AS held, count(*) FILTER (silent) AS silent FROM j GROUP BY ROLLUP (slug)""")
 def health_report(spark, folder):
     """Per operator and in total: scraped, inserted, published, held, silent."""
-    orders = table(spark, folder, "orders").where("o_custkey % 9 > 0")
+    orders = table(spark, folder, "orders")
     n = lambda *states: F.count_if(F.col("o_orderstatus").isin(*states))
     counts = orders.groupBy(F.concat(F.lit("op-"), F.col("o_custkey") % 300).alias("slug")).agg(
         F.count(F.lit(1)).alias("scraped"), n("O", "F").alias("inserted"), n("O").alias("published"), n("F").alias("held")
     )
-    expected = table(spark, folder, "customer").where("c_custkey < 300").select(F.concat(F.lit("op-"), "c_custkey").alias("slug"))
+    expected = table(spark, folder, "customer").select(F.concat(F.lit("op-"), "c_custkey").alias("slug"))
     return P.health_report(counts, expected)
 
 
@@ -310,12 +310,12 @@ def content_pick(spark, folder):
 
 
 @query("value_line", f"""
-WITH {DRAWS_CTE}, v AS (SELECT category_slug, CASE WHEN grand_prize LIKE '%£%' AND length(split_part(grand_prize, '£', 2)) >= 3 AND CAST(split_part(grand_prize, '£', 2) AS DOUBLE) > 0 THEN least(total_prize_value, CAST(split_part(grand_prize, '£', 2) AS DOUBLE)) ELSE total_prize_value END AS value FROM draws WHERE category_slug IS NOT NULL),
+WITH {DRAWS_CTE}, v AS (SELECT category_slug, CASE WHEN grand_prize LIKE '%£%' AND length(split_part(grand_prize, '£', 2)) >= 3 AND CAST(split_part(grand_prize, '£', 2) AS DOUBLE) > 0 THEN least(total_prize_value, CAST(split_part(grand_prize, '£', 2) AS DOUBLE)) ELSE total_prize_value END AS value FROM draws),
  g AS (SELECT category_slug, CAST(sum(CAST(floor(value * 100 + 0.5) AS BIGINT)) AS BIGINT) / 100 AS total FROM v GROUP BY 1)
-SELECT category_slug, total, CASE WHEN category_slug = 'garden' OR total < 1000 THEN '' ELSE '£' || format('{{:,}}', CAST(floor(total / 1000) * 1000 AS BIGINT)) || '+' END AS line FROM g""")
+SELECT category_slug, total, CASE WHEN category_slug IS NULL OR category_slug = 'garden' OR total < 1000 THEN '' ELSE '£' || format('{{:,}}', CAST(floor(total / 1000) * 1000 AS BIGINT)) || '+' END AS line FROM g""")
 def value_line(spark, folder):
     """The defensible "£N+" line per category."""
-    draws = _draws(spark, folder).where("category_slug IS NOT NULL").withColumn("prize_description", F.lit(None).cast("string"))
+    draws = _draws(spark, folder).withColumn("prize_description", F.lit(None).cast("string"))
     return C.value_line(draws)
 
 
@@ -342,7 +342,7 @@ def image_ranking(spark, folder):
 
 
 POSTS = """SELECT CAST(ts AS DATE) AS date, CASE event_type WHEN 'view' THEN 'carousel' WHEN 'click' THEN 'reel' ELSE 'story' END AS format, CASE WHEN event_id % 3 > 0 THEN concat('cat-', user_id % 5) END AS category,
-  concat('m', event_id) AS ig_media_id, CASE WHEN event_id % 4 = 0 THEN 'pending' WHEN event_id % 4 = 1 THEN 'skipped' ELSE 'published' END AS status, ts AS posted_at, event_id FROM {events} WHERE event_type IN ('view', 'click', 'signup')"""
+  concat('m', event_id) AS ig_media_id, CASE WHEN event_id % 4 = 0 AND day(ts) % 3 = 0 THEN 'pending' WHEN event_id % 4 = 1 THEN 'skipped' ELSE 'published' END AS status, ts AS posted_at, event_id FROM {events}"""
 POSTS_CTE = f"posts AS ({for_duck(POSTS, 'events')})"
 TODAY = "2024-01-20"
 
@@ -353,22 +353,22 @@ def _posts(spark, folder):
 
 
 @query("recent_slugs", f"""
-WITH {POSTS_CTE} SELECT DISTINCT unnest([concat('s', event_id % 97), concat('s', event_id % 89)]) AS slug FROM posts WHERE date >= DATE '{TODAY}' - 7 AND date <= DATE '{TODAY}' AND event_id % 40 = 0""")
+WITH {POSTS_CTE} SELECT DISTINCT unnest([concat('s', event_id % 97), concat('s', event_id % 89)]) AS slug FROM posts WHERE date >= DATE '{TODAY}' - 7 AND date <= DATE '{TODAY}'""")
 def recent_slugs(spark, folder):
     """Slugs shown in the last week."""
-    return C.recent_slugs(_posts(spark, folder).where(f"date <= DATE '{TODAY}' AND event_id % 40 = 0"), TODAY)
+    return C.recent_slugs(_posts(spark, folder).where(f"date <= DATE '{TODAY}'"), TODAY)
 
 
 @query("last_category", f"""
-WITH {POSTS_CTE} SELECT category FROM posts WHERE date <= DATE '{TODAY}' AND date >= DATE '{TODAY}' - 3 AND category IS NOT NULL AND event_id % 50 = 0 ORDER BY date DESC, format DESC LIMIT 1""")
+WITH {POSTS_CTE} SELECT category FROM posts WHERE date <= DATE '{TODAY}' AND date >= DATE '{TODAY}' - 3 AND category IS NOT NULL ORDER BY date DESC, format DESC, category DESC LIMIT 1""")
 def last_category(spark, folder):
     """Category of the latest post that has one."""
-    return C.last_category(_posts(spark, folder).where(f"date <= DATE '{TODAY}' AND event_id % 50 = 0"), TODAY)
+    return C.last_category(_posts(spark, folder).where(f"date <= DATE '{TODAY}'"), TODAY)
 
 
 @query("daily_report", f"""
-WITH {POSTS_CTE}, p AS (SELECT date AS day, format, category, ig_media_id FROM posts WHERE date >= DATE '{TODAY}' - 7 AND event_id % 3 = 0),
- m AS (SELECT CAST(ts AS DATE) AS day, concat('m', event_id) AS media_id, CAST(user_id AS DOUBLE) AS likes, value AS comments FROM events WHERE event_id % 2 = 0 AND CAST(ts AS DATE) >= DATE '{TODAY}' - 7),
+WITH {POSTS_CTE}, p AS (SELECT date AS day, format, category, ig_media_id FROM posts WHERE date >= DATE '{TODAY}' - 7),
+ m AS (SELECT CAST(ts AS DATE) AS day, concat('m', event_id) AS media_id, CAST(user_id AS DOUBLE) AS likes, value AS comments FROM events WHERE CAST(ts AS DATE) >= DATE '{TODAY}' - 7),
  reach AS (SELECT CAST(ts AS DATE) AS day, max(value) AS reach FROM events WHERE event_type = 'purchase' AND CAST(ts AS DATE) >= DATE '{TODAY}' - 7 GROUP BY 1),
  days AS (SELECT day FROM m UNION SELECT day FROM reach)
 SELECT coalesce(p.day, days.day) AS day, format, category, ig_media_id, reach, likes, comments FROM p FULL JOIN days USING (day) LEFT JOIN m ON m.day = coalesce(p.day, days.day) AND m.media_id = p.ig_media_id LEFT JOIN reach ON reach.day = coalesce(p.day, days.day)""")
@@ -377,9 +377,9 @@ def daily_report(spark, folder):
     events = table(spark, folder, "events")
     day, media = F.col("ts").cast("date").alias("day"), F.concat(F.lit("m"), "event_id").alias("media_id")
     pairs = F.inline(F.array(F.struct(F.lit("likes").alias("metric"), F.col("user_id").cast("double").alias("value")), F.struct(F.lit("comments").alias("metric"), F.col("value").alias("value"))))
-    metrics = events.where("event_id % 2 = 0").select(day, media, pairs)
+    metrics = events.select(day, media, pairs)
     reach = events.where("event_type = 'purchase'").select(day, F.lit("account").alias("media_id"), F.lit("reach").alias("metric"), "value")
-    return C.daily_report(_posts(spark, folder).where("event_id % 3 = 0"), metrics.unionByName(reach), TODAY)
+    return C.daily_report(_posts(spark, folder), metrics.unionByName(reach), TODAY)
 
 
 @query("post_freshness", f"""
@@ -391,10 +391,10 @@ def post_freshness(spark, folder):
 
 
 @query("cleanup_ready", f"""
-WITH {POSTS_CTE} SELECT date, format, count(*) AS posts, bool_and(status <> 'pending') AND bool_or(status = 'published') AS ready FROM posts WHERE event_id % 9 > 3 GROUP BY 1, 2""")
+WITH {POSTS_CTE} SELECT date, format, count(*) AS posts, bool_and(status <> 'pending') AND bool_or(status = 'published') AS ready FROM posts GROUP BY 1, 2""")
 def cleanup_ready(spark, folder):
     """Days and formats whose posts are all finished, with one published."""
-    posts = _posts(spark, folder).where("event_id % 9 > 3").withColumn("key", F.struct("date", "format"))
+    posts = _posts(spark, folder).withColumn("key", F.struct("date", "format"))
     return P.cleanup_ready(posts, "key").select("key.date", "key.format", "posts", "ready")
 
 

@@ -203,7 +203,7 @@ SELECT strftime(ts, '%Y-%m-%d') AS day, CAST(event_id AS VARCHAR) AS media_id, m
 FROM events, (SELECT unnest(['likes', 'comments']) AS metric) m WHERE event_type = 'view'
 UNION ALL SELECT strftime(ts, '%Y-%m-%d'), 'account', CASE WHEN event_id % 2 = 0 THEN 'reach' ELSE 'views' END, value FROM events WHERE event_type = 'click'
 UNION ALL SELECT strftime(ts, '%Y-%m-%d'), CAST(event_id AS VARCHAR), m.metric, CASE m.metric WHEN 'fb_reactions' THEN CAST(user_id AS DOUBLE) WHEN 'fb_comments' THEN 0.0 ELSE CASE WHEN event_id % 2 = 0 THEN value ELSE 0.0 END END
-FROM events, (SELECT unnest(['fb_reactions', 'fb_comments', 'fb_shares']) AS metric) m WHERE event_type = 'purchase'""")
+FROM events, (SELECT unnest(['fb_reactions', 'fb_comments', 'fb_shares']) AS metric) m WHERE event_type NOT IN ('view', 'click')""")
 def metrics_normalise(spark, folder):
     """Three kinds of captured metric payloads as one long table."""
     events = table(spark, folder, "events")
@@ -211,14 +211,14 @@ def metrics_normalise(spark, folder):
     page = F.floor(F.col("event_id") / PAGE)
 
     def bodies(kind, item):
-        rows = events.where(F.col("event_type") == kind).groupBy(page.alias("page")).agg(F.to_json(F.struct(F.collect_list(item).alias("data"))).alias("body"))
+        rows = events.where(kind).groupBy(page.alias("page")).agg(F.to_json(F.struct(F.collect_list(item).alias("data"))).alias("body"))
         return rows
 
     media = F.struct(F.col("event_id").alias("id"), stamp.alias("timestamp"), F.get_json_object("props", "$.k").cast("int").alias("like_count"), F.when(F.col("event_id") % 3 > 0, F.col("user_id")).alias("comments_count"))
     reach = F.struct(F.when(F.col("event_id") % 2 == 1, F.lit("views")).alias("name"), F.array(F.struct(stamp.alias("end_time"), F.col("value"))).alias("values"))
     count = lambda n: F.struct(F.struct(n.alias("total_count")).alias("summary"))
     posts = F.struct(F.col("event_id").alias("id"), stamp.alias("created_time"), count(F.col("user_id")).alias("reactions"), F.when(F.col("event_id") % 2 == 0, F.struct(F.col("value").alias("count"))).alias("shares"))
-    parts = [P.map_payload(bodies("view", media), "ig_media"), P.map_payload(bodies("click", reach), "ig_reach"), P.map_payload(bodies("purchase", posts), "fb_posts")]
+    parts = [P.map_payload(bodies("event_type = 'view'", media), "ig_media"), P.map_payload(bodies("event_type = 'click'", reach), "ig_reach"), P.map_payload(bodies("event_type NOT IN ('view', 'click')", posts), "fb_posts")]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from listflow.functions import rules
 from listflow.functions.dates import normalize_uk_date
-from listflow.operators.ranking import top_n
 
 NOW = "2026-08-01 12:00:00"
 
@@ -53,18 +52,28 @@ SELECT ((l_orderkey*10+l_linenumber)*100000+l_partkey)*10000+l_suppkey AS seq,
 FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
 """
 
-# Reads per part: the first is stored, the second fresh.
-OBSERVATIONS = """
-SELECT concat('d', l_partkey) AS id, l_partkey AS part_id,
-  row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate, ((l_orderkey*10+l_linenumber)*100000+l_partkey)*10000+l_suppkey) AS obs_no,
-  CASE WHEN l_linestatus='O' THEN 'active' WHEN l_returnflag='R' THEN 'ended' ELSE 'draft' END AS status,
-  CASE WHEN l_tax > 0.07 THEN concat('WIN ', p_name, '!') ELSE concat('Win ', p_name) END AS title,
-  floor(p_retailprice/100*100+0.5)/100 + CASE WHEN l_tax > 0.06 THEN 0.05 ELSE 0.0 END AS ticket_price,
-  CAST(p_size*200 + CASE WHEN l_discount > 0.08 THEN 37 ELSE 0 END AS BIGINT) AS total_entries,
-  CAST(DATE '2026-08-10' + CAST(l_partkey % 30 - 5 + CASE WHEN l_quantity > 40 THEN 1 ELSE 0 END AS INT) AS STRING) AS draw_day
-FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
+# Two reads of every line item's listing, 1 stored and 2 fresh; each moves some fields by other columns.
+_READ = """
+SELECT concat('d', seq) AS id, seq AS part_id, {no} AS obs_no, status, {title} AS title,
+  price + CASE WHEN {price} THEN 0.05 ELSE 0.0 END AS ticket_price,
+  CAST(p_size*200 + CASE WHEN {entries} THEN 37 ELSE 0 END AS BIGINT) AS total_entries,
+  CAST(DATE '2026-08-10' + CAST(l_partkey % 30 - 5 + CASE WHEN {day} THEN 1 ELSE 0 END AS INT) AS STRING) AS draw_day
+FROM (SELECT *, ((l_orderkey*10+l_linenumber)*100000+l_partkey)*10000+l_suppkey AS seq, floor(p_retailprice/100*100+0.5)/100 AS price,
+    CASE WHEN l_linestatus='O' THEN 'active' WHEN l_returnflag='R' THEN 'ended' ELSE 'draft' END AS status
+  FROM {lineitem} JOIN {part} ON l_partkey = p_partkey) AS base
 """
 
+
+def _read(**parts: str) -> str:
+    return _READ.format(lineitem="{lineitem}", part="{part}", **parts)
+
+
+OBSERVATIONS = (
+    _read(no="1", title="concat('Win ', p_name)", price="l_tax > 0.06", entries="l_discount > 0.08", day="l_quantity > 45")
+    + "UNION ALL"
+    + _read(no="2", title="CASE WHEN l_tax > 0.07 THEN concat('WIN ', p_name, '!') ELSE concat('Win ', p_name) END", price="l_discount > 0.06", entries="l_tax > 0.07", day="l_quantity > 40")
+)
+
 LISTINGS_CTE = "listings AS (" + for_duck(LISTINGS, "lineitem", "part") + ")"
 OBSERVATIONS_CTE = "observations AS (" + for_duck(OBSERVATIONS, "lineitem", "part") + ")"
 
@@ -80,17 +89,8 @@ def stamped(df: DataFrame) -> DataFrame:
 
 
 def observations(spark: SparkSession, folder: str) -> DataFrame:
-    """First and second read of every part.
-
-    Only two reads per part leave a map task, however many reads a part has.
-    """
-    text = OBSERVATIONS.replace(
-        "row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate, ((l_orderkey*10+l_linenumber)*100000+l_partkey)*10000+l_suppkey) AS obs_no",
-        "l_shipdate AS read_at, ((l_orderkey*10+l_linenumber)*100000+l_partkey)*10000+l_suppkey AS seq",
-    )
-    base = view(spark, folder, text, "lineitem", "part")
-    reads = top_n(base, ["part_id"], [F.col("read_at"), F.col("seq")], 2, "obs_no")
-    return reads.withColumn("draw_date", normalize_uk_date("draw_day"))
+    """A stored and a fresh read of every line item's listing."""
+    return view(spark, folder, OBSERVATIONS, "lineitem", "part").withColumn("draw_date", normalize_uk_date("draw_day"))
 
 
 PERMALINK = "lower(regexp_replace(regexp_replace(entry_url, '[#?].*$', ''), '/+$', ''))"

@@ -75,11 +75,11 @@ def operator_sample(spark, folder):
 
 
 @query("soonest_closing", f"""
-WITH {LISTINGS_CTE}, p AS (SELECT *, row_number() OVER (PARTITION BY op_slug ORDER BY draw_day, seq, tie) AS rn FROM listings WHERE ticket_price > 0)
+WITH {LISTINGS_CTE}, p AS (SELECT *, row_number() OVER (PARTITION BY op_slug ORDER BY draw_day, seq, tie) AS rn FROM listings)
 SELECT op_slug, seq, draw_day FROM p WHERE rn = 1""")
 def soonest_closing(spark, folder):
     """Listing of every operator that closes first."""
-    rows = stamped(listings(spark, folder).where("ticket_price > 0"))
+    rows = stamped(listings(spark, folder))
     out = C.soonest(rows, ["op_slug"], "seq", "tie")
     return out.select("op_slug", "seq", "draw_day")
 
@@ -197,13 +197,13 @@ def field_flags(spark, folder):
 
 @query("onboard_verdict", f"""
 WITH {GATED_CTE}, g AS (SELECT concat(op_slug, '-', CAST(CAST(substr(draw_day, 9, 2) AS INT) % 7 AS VARCHAR)) AS op, stage = 'ok' AS pass,
-   CASE WHEN seq % 9 > 0 THEN 'luxury' END AS category FROM gated WHERE total_entries > 1000 AND image_url <> ''),
+   CASE WHEN seq % 9 > 0 THEN 'luxury' END AS category FROM gated),
  a AS (SELECT op AS op_slug, count(*) AS scraped, count(*) FILTER (pass) AS passed, count(*) FILTER (pass AND category IS NULL) AS uncategorised FROM g GROUP BY 1)
 SELECT *, CASE WHEN passed = 0 THEN concat('BLOCKED(all ', scraped, ' scraped draw(s) failed the gate)')
   WHEN passed < scraped OR uncategorised > 0 THEN 'NEEDS-CONFIG' ELSE 'READY' END AS verdict FROM a""")
 def onboard_verdict(spark, folder):
     """READY, NEEDS-CONFIG or BLOCKED per operator after a trial read."""
-    rows = _gated(spark, folder).where("total_entries > 1000 AND image_url <> ''")
+    rows = _gated(spark, folder)
     op = F.concat("op_slug", F.lit("-"), (F.substring("draw_day", 9, 2).cast("int") % 7).cast("string"))
     rows = rows.withColumn("category", F.when(F.col("seq") % 9 > 0, F.lit("luxury"))).withColumn("op_slug", op)
     return P.onboard_verdict(rows)

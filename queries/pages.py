@@ -80,11 +80,11 @@ def page_hosts(spark, folder):
 
 @query("price_roundtrip", f"""
 WITH {LISTINGS_CTE}
-SELECT seq, tie, CASE WHEN seq % 7 = 4 THEN floor(ticket_price * 25 * 100 + 0.5) / 100 / 25 * 0 + floor(floor(ticket_price * 25 * 100 + 0.5) / 100 / 25 * 100 + 0.5) / 100 ELSE ticket_price END AS price
-FROM listings WHERE ticket_price > 0 AND seq % 7 <> 6 AND ticket_price * 25 < 1000""")
+SELECT seq, tie, CASE WHEN seq % 7 IN (3, 4) AND NOT (ticket_price > 0 AND ticket_price <= 100) THEN NULL WHEN seq % 7 = 4 THEN floor(ticket_price * 25 * 100 + 0.5) / 100 / 25 * 0 + floor(floor(ticket_price * 25 * 100 + 0.5) / 100 / 25 * 100 + 0.5) / 100 ELSE ticket_price END AS price
+FROM listings""")
 def price_roundtrip(spark, folder):
-    """Ticket price read back from seven ways of writing it."""
-    rows = listings(spark, folder).where("ticket_price > 0 AND seq % 7 <> 6 AND ticket_price * 25 < 1000")
+    """Ticket price read back from seven ways of writing it; free, unpriced and dear ones included."""
+    rows = listings(spark, folder)
     k, p = F.col("seq") % 7, F.format_string("%.2f", F.col("ticket_price"))
     total = F.format_string("%.2f", F.floor(F.col("ticket_price") * 25 * 100 + 0.5) / 100)
     text = (
@@ -102,10 +102,10 @@ def price_roundtrip(spark, folder):
 @query("entries_roundtrip", f"""
 WITH {LISTINGS_CTE}
 SELECT seq, tie, CASE WHEN seq % 9 IN (5, 6) OR total_entries < 100 THEN NULL ELSE total_entries END AS entries, CASE WHEN seq % 9 IN (3, 4, 5, 6, 7) OR total_entries < 100 THEN NULL ELSE total_entries END AS strict
-FROM listings WHERE total_entries IS NOT NULL""")
+FROM listings""")
 def entries_roundtrip(spark, folder):
     """Entry cap read back from nine ways of writing it; counters give NULL."""
-    rows = listings(spark, folder).where("total_entries IS NOT NULL")
+    rows = listings(spark, folder)
     k, n = F.col("seq") % 9, F.format_number("total_entries", 0)
     text = (
         F.when(k == 0, F.concat(F.lit("Max of "), n, F.lit(" tickets available. Sold 12 so far.")))
@@ -223,11 +223,11 @@ def prize_copy(spark, folder):
 
 
 @query("detail_facts", """
-SELECT o_orderkey, CASE o_orderkey % 4 WHEN 3 THEN NULL ELSE CAST(1000 + o_custkey AS BIGINT) END AS entries, strftime(o_orderdate, '%d/%m/%Y') || ' 10:00pm' AS draw, '2026-07-01 10:00,' || strftime(o_orderdate, '20%y-%m-%d') || 'T20:00' AS dates
-FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01'""")
+SELECT o_orderkey, CASE o_orderkey % 4 WHEN 3 THEN NULL ELSE CAST(1000 + o_custkey AS BIGINT) END AS entries, strftime(o_orderdate, '%d/%m/%Y') || ' 10:00pm' AS draw, '2026-07-01 10:00' || CASE WHEN o_orderdate >= TIMESTAMP '2000-01-01' THEN strftime(o_orderdate, ',%Y-%m-%d') || 'T20:00' ELSE '' END AS dates
+FROM orders""")
 def detail_facts(spark, folder):
     """Cap, draw sentence and date candidates that live in the raw page."""
-    orders = table(spark, folder, "orders").where("o_orderdate >= TIMESTAMP_NTZ '2000-01-01'")
+    orders = table(spark, folder, "orders")
     n, k = 1000 + F.col("o_custkey"), F.col("o_orderkey")
     cap = (
         F.when(k % 4 == 0, F.concat(F.lit('"numTickets":'), n)).when(k % 4 == 1, F.concat(F.lit("a maximum number of "), F.format_number(n, 0), F.lit(" entries")))
@@ -361,15 +361,15 @@ def slide_labels(spark, folder):
 
 @query("template_description", f"""
 WITH {LISTINGS_CTE}, h AS (SELECT seq, tie, title, ticket_price, CAST(draw_day AS DATE) AS d,
-   list_reduce(list_concat([2166136261::BIGINT], list_transform(string_split(title, ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda h, u: (xor(h, u) * 16777619) & 4294967295) % 4 AS f FROM listings WHERE ticket_price > 0),
+   list_reduce(list_concat([2166136261::BIGINT], list_transform(string_split(title, ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda h, u: (xor(h, u) * 16777619) & 4294967295) % 4 AS f FROM listings),
  s AS (SELECT *, '£' || regexp_replace(printf('%.2f', ticket_price), '\\.00$', '') AS p, strftime(d, '%A %-d %B %Y') AS w FROM h)
-SELECT seq, tie, CASE f WHEN 0 THEN 'Win ' || title || ' in this UK prize draw. Tickets start from just ' || p || '. The winner is drawn on ' || w || '.'
-  WHEN 1 THEN 'Fancy winning ' || title || '? Entries are ' || p || ' each, with the draw taking place on ' || w || '. Enter before the tickets sell out.'
-  WHEN 2 THEN 'Up for grabs: ' || title || '. Grab your tickets from ' || p || ' ahead of the live draw on ' || w || '.'
-  ELSE 'Here''s your chance to win ' || title || '. With tickets from ' || p || ', the winner is announced on ' || w || '.' END AS description FROM s""")
+SELECT seq, tie, CASE f WHEN 0 THEN 'Win ' || title || ' in this UK prize draw.' || coalesce(' Tickets start from just ' || p || '.', '') || ' The winner is drawn on ' || w || '.'
+  WHEN 1 THEN 'Fancy winning ' || title || '?' || coalesce(' Entries are ' || p || ' each', '') || ', with the draw taking place on ' || w || '. Enter before the tickets sell out.'
+  WHEN 2 THEN 'Up for grabs: ' || title || '.' || coalesce(' Grab your tickets from ' || p, '') || ' ahead of the live draw on ' || w || '.'
+  ELSE 'Here''s your chance to win ' || title || '.' || coalesce(' With tickets from ' || p || ',', '') || ' the winner is announced on ' || w || '.' END AS description FROM s""")
 def template_description(spark, folder):
     """A stable blurb per listing, its frame picked by a hash."""
-    rows = stamped(listings(spark, folder).where("ticket_price > 0")).withColumn("grand_prize", F.col("title")).withColumn("slug", F.lit(""))
+    rows = stamped(listings(spark, folder)).withColumn("grand_prize", F.col("title")).withColumn("slug", F.lit(""))
     return rows.select("seq", "tie", C.template_description().alias("description"))
 
 
