@@ -58,7 +58,7 @@ SELECT concat('d', seq) AS id, seq AS part_id, {no} AS obs_no, status, {title} A
   price + CASE WHEN {price} THEN 0.05 ELSE 0.0 END AS ticket_price,
   CAST(p_size*200 + CASE WHEN {entries} THEN 37 ELSE 0 END AS BIGINT) AS total_entries,
   CAST(DATE '2026-08-10' + CAST(l_partkey % 30 - 5 + CASE WHEN {day} THEN 1 ELSE 0 END AS INT) AS STRING) AS draw_day
-FROM (SELECT *, ((l_orderkey*10+l_linenumber)*100000+l_partkey)*10000+l_suppkey AS seq, floor(p_retailprice/100*100+0.5)/100 AS price,
+FROM (SELECT *, (l_orderkey*10+l_linenumber)*100000000 + CAST(floor(l_extendedprice*100+0.5) AS BIGINT) AS seq, floor(p_retailprice/100*100+0.5)/100 AS price,
     CASE WHEN l_linestatus='O' THEN 'active' WHEN l_returnflag='R' THEN 'ended' ELSE 'draft' END AS status
   FROM {lineitem} JOIN {part} ON l_partkey = p_partkey) AS base
 """

@@ -163,17 +163,18 @@ def attribute_dates(spark, folder):
 
 
 @query("page_fields", f"""
-WITH {LISTINGS_CTE}, one AS (SELECT *, 'Win ' || split_part(title, ' ', 2) || ' BMW' AS t FROM listings WHERE ticket_price > 0 AND total_entries >= 100 AND seq % 10 = 0),
+WITH {LISTINGS_CTE}, one AS (SELECT *, 'Win ' || split_part(title, ' ', 2) || ' BMW' AS t FROM listings),
  k AS (SELECT *, (seq // 10) % 4 AS k FROM one)
 SELECT seq, tie, CASE WHEN k = 2 THEN 'Mega Daily Draw' ELSE t END AS title, CASE WHEN k = 2 THEN '£500 Cash plus ' || t ELSE t END AS grand_prize,
   CASE WHEN k = 2 THEN 'prize-section' ELSE 'title' END AS grand_prize_source, 'car-draws' AS category, ticket_price,
-  total_entries, draw_day || CASE k WHEN 1 THEN 'T17:00:00+01:00' ELSE 'T20:00:00+01:00' END AS draw_date,
+  CASE WHEN k = 1 OR total_entries >= 100 THEN total_entries END AS total_entries, draw_day || CASE k WHEN 1 THEN 'T17:00:00+01:00' ELSE 'T20:00:00+01:00' END AS draw_date,
   CASE WHEN k = 0 THEN 'https://cdn.example/a.jpg' WHEN k = 3 THEN 'https://op.example/img/big.png' ELSE 'https://cdn.example/og.jpg' END AS image_url FROM k""")
 def page_fields(spark, folder):
     """All listing fields of generated pages of four platforms, related blocks included."""
-    rows = listings(spark, folder).where("ticket_price > 0 AND total_entries >= 100 AND seq % 10 = 0")
+    rows = listings(spark, folder)
     title = F.concat(F.lit("Win "), F.split("title", " ")[1], F.lit(" BMW"))
-    price, cap = F.format_string("%.2f", F.col("ticket_price")), F.col("total_entries").cast("string")
+    price = F.when(F.col("ticket_price").isNull(), "-").otherwise(F.format_string("%.2f", F.col("ticket_price")))
+    cap, left = (F.coalesce(n.cast("string"), F.lit("-")) for n in (F.col("total_entries"), F.col("total_entries") - 10))
     day = F.col("draw_day").cast("date")
     long_date = F.concat(F.date_format(day, "d"), F.lit("th "), F.date_format(day, "MMMM yyyy"))
     k = F.floor(F.col("seq") / 10) % 4
@@ -183,7 +184,7 @@ def page_fields(spark, folder):
     ld = F.concat(F.lit('<script type="application/ld+json">{"@graph":[{"@type":"WebPage"},{"@type":"Product","name":"'), title, F.lit('","image":["https://cdn.example/a.jpg"],"offers":[{"price":"'), price, F.lit('"}]}]}</script>'))
     html = (
         F.when(k == 0, F.concat(ld, others, F.lit("<p>Only "), cap, F.lit(" tickets available in this competition.</p><p>Live draw will take place on "), long_date, F.lit(" at 8pm.</p>")))
-        .when(k == 1, F.concat(og, F.lit("<h1>"), title, F.lit("</h1>"), related, F.lit('<div class="summary"><div class="lottery-time-countdown" data-time="'), F.replace("draw_day", F.lit("-"), F.lit("/")), F.lit(' 17:00:00"></div><p>Entries only £'), price, F.lit('</p><div><b class="lty-progress-bar"></b>10 Tickets Sold '), (F.col("total_entries") - 10).cast("string"), F.lit(" remaining</div></div>")))
+        .when(k == 1, F.concat(og, F.lit("<h1>"), title, F.lit("</h1>"), related, F.lit('<div class="summary"><div class="lottery-time-countdown" data-time="'), F.replace("draw_day", F.lit("-"), F.lit("/")), F.lit(' 17:00:00"></div><p>Entries only £'), price, F.lit('</p><div><b class="lty-progress-bar"></b>10 Tickets Sold '), left, F.lit(" remaining</div></div>")))
         .when(k == 2, F.concat(og, F.lit('<h1>Mega Daily Draw</h1><span class="max-tickets">Max Tickets: '), cap, F.lit('</span><h3>Prize Description</h3><p>£500 Cash plus '), title, F.lit('. Good luck!</p><i data-enddate="'), "draw_day", F.lit('T20:00:00"></i><p>from £'), price, F.lit("</p>"), related))
         .otherwise(F.concat(F.lit("<h1>"), title, F.lit('</h1><img width="10" height="10" src="/img/small.png"><img width="800" height="600" src="/img/big.png"><p>£'), price, F.lit(" per ticket. Prizes galore for everyone.</p><p>12 sold of "), cap, F.lit(" </p><p>Closes "), long_date, F.lit("</p>"), others))
     )
