@@ -62,30 +62,47 @@ def assign_slugs(df: DataFrame, taken: DataFrame, op: str = "op_slug", seq: str
     """Unique slugs: the base for the first row, ``-2``, ``-3`` … after it.
 
     Numbers that stored slugs already use are skipped.  ``taken`` has a ``slug`` column.
-    The ranked rows are checkpointed: three later steps read them.
+    Different bases can spell the same slug ("Win X" numbered 2, and "Win X" of an operator
+    called 2; or long bases that are cut).  The row with the smaller ``seq`` keeps it; the other
+    base loses that number for good and is numbered again, until all slugs differ.  Each round
+    retires numbers, and only so many spell one slug, so the rounds end.
     """
     ensure_checkpoint_dir(df.sparkSession)
     based = df.withColumn("_base", X.make_slug("title", op))
     placed = ranked(based, ["_base"], seq, "_rank", bounds).checkpoint()
-    free = _skip_taken(placed, taken).withColumn(out, X.numbered_slug("_base", F.col("_n")))
-    return free.drop("_base", "_rank", "_n")
+    used = _used_numbers(placed, taken).checkpoint()
+    stored = taken.select(F.col("slug").alias("_slug")).distinct()
+    while True:
+        named = _skip_taken(placed, used).withColumn("_slug", X.numbered_slug("_base", F.col("_n"))).checkpoint()
+        keys = named.select("_slug", "_base", "_n", F.col(seq).alias("_seq"))
+        firsts = keys.groupBy("_slug").agg(F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
+        later = keys.join(firsts, "_slug").where(F.col("_seq") > F.col("_first")).select("_base", "_n")
+        lost = later.unionByName(keys.join(stored, "_slug", "left_semi").select("_base", "_n")).distinct().checkpoint()
+        if lost.isEmpty():
+            return named.withColumn(out, F.col("_slug")).drop("_base", "_rank", "_n", "_slug")
+        used = used.unionByName(lost.withColumnRenamed("_n", "_u")).distinct().checkpoint()
+
+
+def _used_numbers(placed: DataFrame, taken: DataFrame) -> DataFrame:
+    """Numbers (``_base``, ``_u``) that the stored slugs use, for the bases of ``placed``."""
+    tail = F.regexp_extract("slug", r"-(\d{1,9})$", 1)
+    stem = F.regexp_replace("slug", r"-\d{1,9}$", "")
+    readings = F.array(
+        F.struct(F.col("slug").alias("_base"), F.lit(1).cast("bigint").alias("_u")),
+        F.struct(stem.alias("_base"), F.nullif(tail, F.lit("")).cast("bigint").alias("_u")),
+    )
+    # "-1" and "-02" are no numbers that a base gets
+    read = taken.select("slug", F.inline(readings)).where((F.col("_u") >= 1) & (X.numbered_slug("_base", F.col("_u")) == F.col("slug")))
+    return read.select("_base", "_u").distinct().join(placed.select("_base").distinct(), "_base", "left_semi")
 
 
-def _skip_taken(placed: DataFrame, taken: DataFrame) -> DataFrame:
-    """Add ``_n``: the ``_rank``-th number of the base that no stored slug uses.
+def _skip_taken(placed: DataFrame, used: DataFrame) -> DataFrame:
+    """Add ``_n``: the ``_rank``-th number of the base that ``used`` (``_base``, ``_u``) leaves free.
 
     The k-th used number u of a base has ``u - k`` free numbers before it.  A row of rank r
     therefore stands behind exactly the used numbers with fewer than r free ones before
     them, which is a running count over the two ordered lists merged.
     """
-    tail = F.regexp_extract("slug", r"-(\d{1,9})$", 1)
-    stem = F.regexp_replace("slug", r"-\d{1,9}$", "")
-    readings = F.array(
-        F.struct(F.col("slug").alias("_base"), F.lit(1).cast("bigint").alias("_u")),
-        F.struct(stem.alias("_base"), F.nullif(tail, F.lit("")).cast("bigint").alias("_u")),
-    )
-    used = taken.select(F.inline(readings)).where(F.col("_u") >= 1).distinct()
-    used = used.join(placed.select("_base").distinct(), "_base", "left_semi").checkpoint()
     if used.isEmpty():
         return placed.withColumn("_n", F.col("_rank"))
     marks = ranked(used, ["_base"], "_u", "_k").select("_base", ((F.col("_u") - F.col("_k")) * 2).alias("_at"), F.lit(None).cast("bigint").alias("_rank"))

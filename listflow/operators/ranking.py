@@ -22,10 +22,13 @@ BUCKETS = 1024
 PRUNED_RANKS = 1000
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash that depends on the row's values only, so a retried task repeats it."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if f.dataType.typeName() in _HASHABLE])
+
+
 def _salt(df: DataFrame) -> Column:
-    """A salt that depends on the row's values only, so a retried task repeats it."""
-    plain = [F.col(f"`{f.name}`") for f in df.schema if f.dataType.typeName() in _HASHABLE]
-    return F.pmod(F.xxhash64(*plain), F.lit(SALTS)).cast("int")
+    return F.pmod(row_hash(df), F.lit(SALTS)).cast("int")
 
 
 _HASHABLE = {"string", "long", "integer", "short", "byte", "double", "float", "boolean", "date", "timestamp", "decimal", "timestamp_ntz"}
@@ -165,11 +168,18 @@ def scratch_path(spark, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialised(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialised(df: DataFrame, name: str = "stage", path: str | None = None) -> DataFrame:
     """The frame written once as a table in the shared folder and read back.
 
-    Cuts the lineage, survives lost executors, and later readers prune its columns.
+    Cuts the lineage, survives lost executors, and later readers prune its columns.  A caller
+    that names the ``path`` may delete it when the last reader is done.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    path = path or scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark, path: str) -> None:
+    """Delete a written table."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -15,7 +15,7 @@ from ..functions import text as X
 from ..functions.base import at, c, days, instant, number_text, nz, present, round2, when_text, with_once
 from ..functions.dates import uk_day_key
 from .gates import field_flags
-from .ranking import materialised, within_cap
+from .ranking import first_per_key, materialised, row_hash, within_cap
 
 COMPARED = ["ticket_price", "total_entries", "draw_date", "title"]
 POOL_LIMIT = 1_000_000_000
@@ -43,11 +43,20 @@ def prize_pool(price: str | Column = "ticket_price", cap: str | Column = "total_
 
 
 def with_stored(fresh: DataFrame, stored: DataFrame, match_key: str = "exact", columns: list[str] | None = None) -> DataFrame:
-    """Fresh rows left-joined to the stored row of the same URL, stored columns as ``s_*``."""
+    """Fresh rows left-joined to the stored row of the same URL, stored columns as ``s_*``.
+
+    A URL that is stored more than once is represented by the row with the greatest ``id``.
+    NULL and blank URLs match nothing; each such read has a join key of its own.
+    """
     key = (lambda u: X.permalink_key(u)) if match_key == "permalink" else (lambda u: c(u))
     names = columns or stored.columns
-    right = stored.where(F.col("entry_url").isNotNull()).select(key("entry_url").alias("_key"), *[F.col(n).alias(f"s_{n}") for n in names])
-    return fresh.withColumn("_key", key("entry_url")).join(right, "_key", "left").drop("_key")
+    held = stored.withColumn("_key", F.nullif(key("entry_url"), F.lit(""))).where(F.col("_key").isNotNull())
+    plain = [f.name for f in stored.schema if f.dataType.typeName() != "map" and f.name != "id"]
+    latest = [F.desc("id")] if "id" in stored.columns else []
+    one = first_per_key(held, ["_key"], [*latest, F.struct(*[F.col(f"`{n}`") for n in plain])])
+    right = one.select("_key", *[F.col(n).alias(f"s_{n}") for n in names])
+    own = F.concat(F.lit("\u0001"), row_hash(fresh).cast("string"))
+    return fresh.withColumn("_key", F.coalesce(F.nullif(key("entry_url"), F.lit("")), own)).join(right, "_key", "left").drop("_key")
 
 
 def _moved() -> dict[str, Column]:
