@@ -494,15 +494,16 @@ def candidate_slug(text: str | Column) -> Column:
     return F.when(value.rlike(r"^[a-z0-9][a-z0-9-]{2,}$"), value)
 
 
-def trust_signals(html: str | Column) -> Column:
-    """Evidence on a home page: company number, terms link, up to five social links."""
+def trust_signals(html: str | Column, limit: int | None = None) -> Column:
+    """Evidence on a home page: company number, terms link, all (or the first ``limit``) social links."""
     number = F.coalesce(
         first_group(html, r"company\s*(?:no|number|registration)[.:\s#]*(\d{8})"),
         first_group(html, r"registered .{0,60}?(\d{8})", 1, "is"),
     )
     terms = matches(html, r'<a[^>]+href="[^"]*(terms(?:-and-conditions)?|t&amp;cs|t&cs)[^"]*"')
     links = all_groups(html, r'href="(https?://(?:www\.)?(?:facebook|instagram|tiktok)\.com/[^"?#]+)')
-    socials = F.slice(F.array_distinct(F.transform(links, lambda u: F.regexp_replace(u, r"/$", ""))), 1, 5)
+    socials = F.array_distinct(F.transform(links, lambda u: F.regexp_replace(u, r"/$", "")))
+    socials = socials if limit is None else F.slice(socials, 1, limit)
     return F.struct(number.alias("company_number"), terms.alias("has_terms"), socials.alias("socials"))
 
 

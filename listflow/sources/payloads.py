@@ -61,17 +61,18 @@ def seed_candidates(lines: DataFrame, line: str = "value") -> DataFrame:
     return lines.select(X.seed_domain(line).alias("domain"), F.lit("seed").alias("via")).where("domain IS NOT NULL AND domain <> ''")
 
 
-def sitemap_children(maps: DataFrame, xml: str = "xml", limit: int = 5) -> DataFrame:
-    """First child sitemaps of every sitemap index."""
-    kids = F.slice(F.filter(X.sitemap_locs(xml), lambda u: u.endswith(".xml")), 1, limit)
+def sitemap_children(maps: DataFrame, xml: str = "xml", limit: int | None = None) -> DataFrame:
+    """All (or the first ``limit``) child sitemaps of every sitemap index."""
+    kids = F.filter(X.sitemap_locs(xml), lambda u: u.endswith(".xml"))
+    kids = kids if limit is None else F.slice(kids, 1, limit)
     return maps.select(*[n for n in maps.columns if n != xml], F.explode(kids).alias("child"))
 
 
-def sitemap_pages(maps: DataFrame, xml: str = "xml", limit: int = 40) -> DataFrame:
-    """First distinct page addresses of every sitemap whose path looks like an operator page."""
+def sitemap_pages(maps: DataFrame, xml: str = "xml", limit: int | None = None) -> DataFrame:
+    """Distinct page addresses of every sitemap whose path looks like an operator page, all or the first ``limit``."""
     path = lambda u: F.regexp_extract(u, r"^https?://[^/?#]+([^?#]*)", 1)
     pages = F.filter(X.sitemap_locs(xml), lambda u: ~u.endswith(".xml") & path(u).rlike(rx(rules.SITEMAP_PAGE)))
-    first = F.slice(F.array_distinct(pages), 1, limit)
+    first = F.array_distinct(pages) if limit is None else F.slice(F.array_distinct(pages), 1, limit)
     return maps.select(*[n for n in maps.columns if n != xml], F.posexplode(first).alias("position", "page"))
 
 

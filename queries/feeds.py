@@ -234,15 +234,14 @@ def serp_hosts(spark, folder):
 
 @query("sitemap_pages", """
 WITH u AS (SELECT page_id // 50 AS map, page_id, concat(split_part(split_part(url, '#', 1), '?', 1), CASE page_id % 3 WHEN 0 THEN '/operators/a' WHEN 1 THEN '/blog' ELSE '/reviews/b' END) AS loc FROM pages),
- d AS (SELECT map, loc, min(page_id) AS first FROM u WHERE page_id % 3 <> 1 OR regexp_matches(regexp_replace(loc, '^https?://[^/]+', ''), '(?i)operator|site|review|compan') GROUP BY 1, 2),
- r AS (SELECT *, row_number() OVER (PARTITION BY map ORDER BY first) AS rn FROM d)
-SELECT CAST(map AS BIGINT) AS map, loc AS page FROM r WHERE rn <= 20""")
+ d AS (SELECT map, loc, min(page_id) AS first FROM u WHERE page_id % 3 <> 1 OR regexp_matches(regexp_replace(loc, '^https?://[^/]+', ''), '(?i)operator|site|review|compan') GROUP BY 1, 2)
+SELECT CAST(map AS BIGINT) AS map, loc AS page FROM d""")
 def sitemap_pages(spark, folder):
-    """First operator-like page addresses of every sitemap."""
+    """Operator-like page addresses of every sitemap."""
     pages = table(spark, folder, "pages")
     k = F.col("page_id")
     tail = F.when(k % 3 == 0, F.lit("/operators/a")).when(k % 3 == 1, F.lit("/blog")).otherwise(F.lit("/reviews/b"))
     loc = F.concat(F.lit("<url><loc> "), F.substring_index(F.substring_index("url", "#", 1), "?", 1), tail, F.lit("</loc></url>"))
     maps = pages.groupBy(F.floor(k / 50).alias("map")).agg(F.sort_array(F.collect_list(F.struct(k, loc.alias("loc")))).alias("l"))
     maps = maps.select("map", F.concat(F.lit("<urlset><loc>https://x.example/child.xml</loc>"), F.array_join(F.transform("l", lambda x: x["loc"]), ""), F.lit("</urlset>")).alias("xml"))
-    return P.sitemap_pages(maps, limit=20).select("map", "page")
+    return P.sitemap_pages(maps).select("map", "page")
