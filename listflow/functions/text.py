@@ -456,13 +456,32 @@ def image_from_html(html: str | Column, base: str | Column) -> Column:
 # ---- links and hosts -----------------------------------------------------
 
 
-def pick_draw_links(links: str | Column, base: str | Column, cap: int, draw: str = rules.DRAW_LINK, exclude: tuple = (rules.BAD_LINK, rules.CATEGORY_TAIL)) -> Column:
-    """First ``cap`` distinct same-origin links that look like a listing, in page order."""
+def pick_draw_links(
+    links: str | Column, base: str | Column, cap: int | None, draw: str | Column = rules.DRAW_LINK, exclude: tuple | Column = (rules.BAD_LINK, rules.CATEGORY_TAIL)
+) -> Column:
+    """Distinct same-origin links that look like a listing, in page order, all or the first ``cap``.
+
+    ``draw`` (a pattern) and ``exclude`` (an array of patterns) may be columns: an operator's own
+    rules, replaced by the shared ones where they are NULL or empty.
+    """
     origin = origin_of(base)
     cut = F.transform(c(links), lambda u: F.regexp_replace(u, r"(?s)[?#].*$", ""))
-    refused = "|".join(f"(?:{p})" for p in exclude)
-    keep = F.filter(cut, lambda u: F.startswith(u, origin) & u.rlike(rx(draw)) & (~u.rlike(rx(refused)) if refused else F.lit(True)))
-    return F.slice(F.array_distinct(keep), 1, cap)
+    shared = "|".join(f"(?:{p})" for p in ((rules.BAD_LINK, rules.CATEGORY_TAIL) if isinstance(exclude, Column) else exclude))
+    by_shared = (lambda u: u.rlike(rx(shared))) if shared else (lambda u: F.lit(False))
+
+    def fits(u: Column) -> Column:
+        if not isinstance(draw, Column):
+            return u.rlike(rx(draw))
+        return F.when(F.nullif(draw, F.lit("")).isNull(), u.rlike(rx(rules.DRAW_LINK))).otherwise(F.rlike(u, F.concat(F.lit("(?i)"), draw)))
+
+    def refused(u: Column) -> Column:
+        if not isinstance(exclude, Column):
+            return by_shared(u)
+        own = F.exists(exclude, lambda p: F.rlike(u, F.concat(F.lit("(?i)"), p)))
+        return F.when(F.size(exclude) > 0, F.coalesce(own, F.lit(False))).otherwise(by_shared(u))
+
+    kept = F.array_distinct(F.filter(cut, lambda u: F.startswith(u, origin) & fits(u) & ~refused(u)))
+    return kept if cap is None else F.slice(kept, 1, cap)
 
 
 def page_links(html: str | Column, base: str | Column) -> Column:

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import re
-
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,11 +64,35 @@ def select_operators(
 
 
 def valid_regex(pattern: str | None) -> str | None:
-    """The pattern when it compiles, else None: a broken operator pattern is ignored."""
+    """The pattern when the engine's dialect (java.util.regex) compiles it, else None."""
     if not pattern:
         return None
     try:
-        re.compile(pattern)
-    except re.error:
+        SparkSession.active()._jvm.java.util.regex.Pattern.compile(pattern)
+    except IllegalArgumentException:
         return None
     return pattern
+
+
+def with_valid_patterns(config: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Configuration without patterns that do not compile, and those as (slug, field, pattern).
+
+    A broken pattern counts as not given, so the operator falls back to the shared rules.  The
+    driver compiles each distinct pattern once: a handful per configured operator, never per row.
+    """
+    named = F.concat(
+        F.array(F.struct(F.lit("drawMatch").alias("field"), F.col("drawMatch").alias("pattern"))),
+        F.transform(F.coalesce("exclude", F.array().cast("array<string>")), lambda p: F.struct(F.lit("exclude").alias("field"), p.alias("pattern"))),
+        F.transform(F.map_entries(F.coalesce("patterns", F.create_map().cast("map<string,string>"))), lambda e: F.struct(e["key"].alias("field"), e["value"].alias("pattern"))),
+    )
+    given = config.select("slug", F.inline(named)).where("pattern IS NOT NULL")
+    bad = [r["pattern"] for r in given.select("pattern").distinct().toLocalIterator() if valid_regex(r["pattern"]) is None]
+    broken = lambda p: p.isin(bad) if bad else F.lit(False)
+    clean = config.withColumns(
+        {
+            "drawMatch": F.when(~broken(F.col("drawMatch")), F.col("drawMatch")),
+            "exclude": F.filter("exclude", lambda p: ~broken(p)),
+            "patterns": F.map_filter("patterns", lambda _, p: ~broken(p)),
+        }
+    )
+    return clean, given.where(broken(F.col("pattern")))
