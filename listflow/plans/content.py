@@ -98,6 +98,12 @@ def soonest(draws: DataFrame, group: list[str], *seq: str) -> DataFrame:
     return first_per_key(draws, group, [closes.isNull(), closes, *[F.col(n) for n in seq or ("seq",)]])
 
 
+def newest_drafts(draws: DataFrame, limit: int | None = 200) -> DataFrame:
+    """Drafts waiting for a look, newest first (a top-k; all without a limit); by id on a tie."""
+    drafts = draws.where(F.col("status") == "draft").orderBy(F.desc("created_at"), "id")
+    return drafts if limit is None else drafts.limit(limit)
+
+
 def recent_slugs(posts: DataFrame, today: str, within_days: int = 7) -> DataFrame:
     """Distinct slugs shown in the last days, one row each."""
     recent = posts.where(F.col("date") >= F.date_sub(F.lit(today).cast("date"), within_days))

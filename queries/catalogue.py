@@ -174,8 +174,7 @@ def operator_batch(spark, folder):
 WITH {DRAWS_CTE} SELECT id, created_at FROM draws WHERE status = 'draft' ORDER BY created_at DESC, id LIMIT 200""")
 def newest_drafts(spark, folder):
     """The 200 newest drafts (a top-k)."""
-    drafts = _draws(spark, folder).where("status = 'draft'")
-    return drafts.orderBy(F.desc("created_at"), "id").limit(200).select("id", "created_at")
+    return C.newest_drafts(_draws(spark, folder)).select("id", "created_at")
 
 
 # ---- discovery -------------------------------------------------------------
