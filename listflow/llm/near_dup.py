@@ -5,11 +5,11 @@ hashed once; the hash's top bits choose a bin and the least value of each bin is
 value of a filled bin drawn by a hash of (bin, attempt) alone. Bands of bins are bucket keys. Each bucket proposes edges
 to its most popular member (the one in the largest buckets, so the original rather than one of its copies); a bucket of
 up to ``SMALL`` proposes all its pairs. Candidates are confirmed on the full shingle sets, and links are closed to
-components. Large buckets that still hold several components are dealt anew by two bands at a time, another second band
-in each round, until none is left or two rounds in a row link nothing.
+components. Large buckets that still hold several components are finished exactly: their members are dealt into blocks,
+and every two blocks that hold different components are compared on the full sets, all pairs of them.
 
-A link at the threshold shares no band with probability below (1 - 0.8**4)**32 = 5e-8. Pairs grow with bucket sizes,
-never with their squares.
+A link at the threshold shares no band with probability below (1 - 0.8**4)**32 = 5e-8. Pairs grow with bucket sizes and
+never with their squares, but for the exact finish: there the comparisons of members of different components do.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ from .words import hashes, mix, shingles, slices, utf8
 U64 = np.uint64
 #: Buckets of up to so many documents propose all their pairs.
 SMALL = 8
+#: Documents and shingles that a block of the exact finish holds on average.
+BLOCK, BLOCK_SHINGLES = 512, 1 << 20
 
 
 def _draws(bins: int) -> np.ndarray:
@@ -150,6 +152,122 @@ def _confirmed(kept: Scratch, docs: DataFrame, edges: DataFrame, width: int, per
     return kept.keep(two.mapInArrow(_linked(percent), "m long, c long"), f"{name}-links")
 
 
+def _overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """How many values every set of ``x`` shares with every set of ``y``. Sets are ascending."""
+    both = np.zeros((len(x), len(y)))
+    vx, vy = np.concatenate(x), np.concatenate(y)
+    shared = np.intersect1d(vx, vy)
+    if not len(shared):
+        return both
+
+    def cells(values, sets):
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        at = np.minimum(np.searchsorted(shared, values), len(shared) - 1)
+        good = shared[at] == values
+        order = np.argsort(at[good], kind="stable")
+        return at[good][order], owner[good][order]
+
+    (ax, ox), (ay, oy) = cells(vx, x), cells(vy, y)
+    nx, ny = np.bincount(ax, minlength=len(shared)), np.bincount(ay, minlength=len(shared))
+    # values of few sets go pair by pair, the others through matrices of so many columns
+    rare = nx * ny <= 64
+    many, first = ny[ax] * rare[ax], np.cumsum(ny) - ny
+    for low in range(0, len(ax), 1 << 16):
+        n = many[low : low + (1 << 16)]
+        row = np.repeat(ox[low : low + (1 << 16)], n)
+        col = oy[np.repeat(first[ax[low : low + (1 << 16)]] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        both += np.bincount(row * len(y) + col, minlength=both.size).reshape(both.shape)
+    often = np.flatnonzero(~rare)
+    for low in range(0, len(often), 2048):
+        part = often[low : low + 2048]
+        sides = []
+        for at, owner, n in ((ax, ox, len(x)), (ay, oy, len(y))):
+            k = np.searchsorted(part, at)
+            good = part[np.minimum(k, len(part) - 1)] == at
+            side = np.zeros((n, len(part)), np.float32)
+            side[owner[good], k[good]] = 1
+            sides.append(side)
+        both += sides[0] @ sides[1].T
+    return both
+
+
+def _compared(percent: int):
+    """Links between different components of two blocks, as many as join the components that links join."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        ids, names, right = (np.asarray(table.column(c)) for c in ("id", "component", "right"))
+        sets = [np.frombuffer(x.as_buffer(), U64) for x in table.column("shingles")]
+        left, right = np.flatnonzero(~right.astype(bool)), np.flatnonzero(right.astype(bool))
+        right = right if len(right) else left
+        out = []
+        if len(left):
+            both = _overlaps([sets[i] for i in left], [sets[i] for i in right])
+            size = np.array([len(s) for s in sets])
+            hit = 100 * both >= percent * (size[left][:, None] + size[right] - both)
+            root: dict[int, int] = {}
+
+            def find(k):
+                while (up := root.setdefault(k, k)) != k:
+                    root[k] = k = root[up]
+                return k
+
+            for i, j in zip(*np.nonzero(hit & (names[left][:, None] != names[right])), strict=True):
+                m, c = find(names[left[i]]), find(names[right[j]])
+                if m != c:
+                    root[m] = c
+                    out.append((ids[left[i]], ids[right[j]]))
+        return pa.table({"m": pa.array([m for m, _ in out], pa.int64()), "c": pa.array([c for _, c in out], pa.int64())})
+
+    return run
+
+
+def _finished(kept: Scratch, docs: DataFrame, large: DataFrame, sizes: DataFrame, labels: DataFrame, width: int, percent: int) -> DataFrame:
+    """Every link between different components within the buckets of ``large`` (key, id), or as many as join the same components.
+
+    Buckets that overlap form a family. A family is compared as a whole where that is less than bucket by bucket.
+    """
+    named = large.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    mixed = kept.keep(named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("low < high").select("key", "first", "n"), "mixed")
+    if mixed.isEmpty():
+        return labels.limit(0).select(F.col("id").alias("m"), F.col("component").alias("c"))
+    named = kept.keep(named.join(mixed, "key"), "mixed-members")
+    # buckets stand for their first members here, joined through the least of them that a document knows
+    least = named.groupBy("id").agg(F.min("first").alias("c"))
+    family = components(kept.keep(named.join(least, "id").select(F.col("first").alias("m"), "c").where("m <> c").distinct(), "bucket-links"))
+    buckets = mixed.join(family.withColumnRenamed("id", "first"), "first", "left").select("key", "n", F.coalesce("component", "first").alias("family"))
+    buckets = kept.keep(buckets, "buckets")
+    apart = buckets.groupBy("family").agg(F.sum(F.col("n") * F.col("n")).alias("apart"))
+    whole = named.select("key", "id").join(buckets, "key").select("family", "id").distinct().groupBy("family").agg(F.count(F.lit(1)).alias("all"))
+    whole = whole.join(apart, "family").select("family", (F.col("all") * F.col("all") <= F.col("apart")).alias("whole"))
+    group = F.when(F.col("whole"), F.struct(F.lit(0).alias("of"), F.col("family").alias("no"))).otherwise(F.struct(F.lit(1).alias("of"), F.col("key").alias("no")))
+    groups = kept.keep(buckets.join(whole, "family").select("key", group.alias("group")), "groups")
+    members = named.join(groups, "key").select("group", "id", "component").distinct()
+    members = kept.keep(members.join(sizes, "id"), "group-members")
+
+    # a component that fills blocks has its own, which are not compared with each other; the others share blocks
+    blocks = F.greatest(F.ceil(F.col("docs") / BLOCK), F.ceil(F.col("held") / BLOCK_SHINGLES))
+    held = members.groupBy("group", "component").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("held")).withColumn("own", blocks)
+    held = kept.keep(held, "group-components")
+    rest = held.where("own = 1").groupBy("group").agg(F.sum("docs").alias("docs"), F.sum("held").alias("held")).select("group", blocks.alias("shared"))
+    dealt = members.join(held.select("group", "component", "own"), ["group", "component"]).join(rest, "group", "left")
+    # no nulls in a block's name, as hashes skip them
+    own = F.struct(F.lit(1).alias("full"), F.col("component").alias("only"), F.pmod(F.xxhash64("id"), "own").alias("no"))
+    shared = F.struct(F.lit(0).alias("full"), F.lit(0).cast("long").alias("only"), F.pmod(F.xxhash64("component", F.lit(1)), "shared").alias("no"))
+    block = F.when(F.col("own") > 1, own).otherwise(shared)
+    dealt = kept.keep(dealt.select("group", "id", "component", block.alias("block")), "blocks")
+    some = dealt.select("group", "block").distinct()
+    pairs = some.withColumnRenamed("block", "low").join(some.withColumnRenamed("block", "high"), "group").where("low < high and not (low.full = 1 and high.full = 1 and low.only = high.only) or low = high and low.full = 0")
+    pairs = kept.keep(pairs, "block-pairs")
+    lows = dealt.join(pairs.withColumn("block", F.col("low")), ["group", "block"]).withColumn("right", F.lit(False))
+    highs = dealt.join(pairs.where("low < high").withColumn("block", F.col("high")), ["group", "block"]).withColumn("right", F.lit(True))
+    rows = lows.unionByName(highs).select("group", "low", "high", "right", "id", "component")
+    sets = kept.keep(docs.join(dealt.select("id").distinct().hint("merge"), "id", "left_semi").mapInArrow(_sets(width), "id long, shingles binary"), "group-sets")
+    sets = sets.dropDuplicates(["id"]) if not sets.groupBy("id").count().where("count > 1").isEmpty() else sets
+    full = rows.join(sets, "id").select(F.xxhash64("group", "low", "high").alias("pair"), "right", "id", "component", "shingles")
+    return kept.keep(full.groupBy("pair").applyInArrow(_compared(percent), "m long, c long"), "finished")
+
+
 def near_duplicates(docs: DataFrame, id_col: str | Column = "doc_id", text_col: str | Column = "text", width: int = 5, percent: int = 80, bins: int = 128, rows: int = 4) -> DataFrame:
     """Components of documents whose shingle sets have a Jaccard index of at least ``percent`` / 100.
 
@@ -171,24 +289,9 @@ def near_duplicates(docs: DataFrame, id_col: str | Column = "doc_id", text_col:
         large = found.where(F.col("size") > SMALL).select("key", "id")
         links = _confirmed(kept, docs, edges, width, percent, "r0")
         labels = components(links)
-        idle = 0
-        for turn in range(1, bins // rows):
-            named = large.join(labels.select("id", "component"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-            mixed = kept.keep(named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key"), f"m{turn}")
-            if idle > 1 or mixed.isEmpty():
-                break
-            second = F.element_at("keys", ((F.col("k") + turn) % (bins // rows) + 1).cast("int"))
-            finer = reps.select("id", "keys", F.posexplode("keys").alias("k", "key")).join(mixed, "key", "left_semi").select("id", F.xxhash64("key", second).alias("key"))
-            _, more = _proposed(kept, finer, f"r{turn}")
-            known = labels.select(F.col("id").alias("m"), F.col("component").alias("cm")), labels.select(F.col("id").alias("c"), F.col("component").alias("cc"))
-            more = kept.keep(more.join(known[0], "m", "left").join(known[1], "c", "left").where("coalesce(cm, m) <> coalesce(cc, c)").select("m", "c"), f"new{turn}")
-            fresh = _confirmed(kept, docs, more, width, percent, f"r{turn}")
-            if fresh.isEmpty():
-                idle += 1
-                continue
-            idle = 0
-            links = links.union(fresh)
-            labels = components(links)
+        fresh = _finished(kept, docs, large, signed.select("id", "n").dropDuplicates(["id"]), labels, width, percent)
+        if not fresh.isEmpty():
+            labels = components(links.union(fresh))
         # a class's representative stands for its members, which may have smaller components than their own ids
         labels = labels.withColumnRenamed("id", "rep")
         named = members.join(labels, "rep", "left").select("id", F.coalesce("component", "rep").alias("component")).distinct()

@@ -46,6 +46,58 @@ def test_near_duplicates_against_all_pairs(spark, docs, width, percent):
     assert near_dup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_links_inside_a_family_from_one_template(spark):
+    # texts of optional paragraphs: all pairs are similar, few of them are links
+    rng = np.random.default_rng(8)
+    parts = [" ".join(f"p{k}w{i}" for i in range(3)) for k in range(48)]
+    rows = [(k, " ".join(x for x in parts if rng.random() < 0.82)) for k in range(3000)]
+    shingles = {}
+    sets = [sorted({shingles.setdefault(" ".join(w[i : i + 3]), len(shingles)) for i in range(len(w) - 2)}) for w in (t.split() for _, t in rows)]
+    cells = np.zeros((len(rows), len(shingles)), np.float32)
+    for k, own in enumerate(sets):
+        cells[k, own] = 1
+    both, size = cells @ cells.T, cells.sum(1)
+    linked = 100 * both >= 80 * (size[:, None] + size - both)
+    want = np.arange(len(rows))
+    while (low := np.where(linked, want, len(rows)).min(1)).tolist() != want.tolist():
+        want = low
+    assert 100 < len(set(want.tolist())) < len(rows) - 100
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["component_id"] for r in near_dup.near_duplicates(table, width=3, percent=80).collect()}
+    assert [got[k] for k in range(len(rows))] == want.tolist()
+
+
+@pytest.mark.parametrize("block", [near_dup.BLOCK, 7])
+def test_exact_finish_by_blocks(spark, monkeypatch, block):
+    # a component that fills blocks, single texts around it, and two groups that overlap
+    monkeypatch.setattr(near_dup, "BLOCK", block)
+    rng = np.random.default_rng(3)
+    words = lambda k, n: " ".join(f"{k}x{i}" for i in range(n))
+    rows = {k: words("a", 40) + " " + words(f"own{k % 9}", 4 + k % 5) for k in range(60)} | {100 + k: words("a", 40) + " " + words(f"far{k // 2}", 9 + k % 2) for k in range(20)}
+    rows |= {k + 200: words("b", int(rng.integers(20, 40))) for k in range(40)}
+    docs = spark.createDataFrame(list(rows.items()), "id long, text string")
+    large = spark.createDataFrame([(1, k) for k in rows if k < 200] + [(2, k) for k in rows if k > 110], "key long, id long")
+    labels = spark.createDataFrame([(k, 0) for k in range(0, 60, 9)] + [(k, 1) for k in range(1, 60, 9)], "id long, component long")
+    sizes = docs.select("id", (F.size(F.split("text", " ")) - 2).cast("long").alias("n"))
+    kept = Scratch(spark)
+    try:
+        links = [(r["m"], r["c"]) for r in near_dup._finished(kept, docs, large, sizes, labels, 3, 80).collect()]
+    finally:
+        kept.drop()
+    root = {k: k for k in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for m, c in [*links, *((r["id"], r["component"]) for r in labels.collect())]:
+        low, high = sorted((find(m), find(c)))
+        root[high] = low
+    want = components(rows.items(), 3, 80)
+    assert {k: find(k) for k in rows} == {k: c for k, (_, c) in want.items()}
+
+
 def test_densification_fills_every_bin():
     value = np.array([5, 1 << 63], np.uint64)
     out = near_dup.signature(value, np.array([0, 0]), 2, 128)
