@@ -5,7 +5,8 @@ words of the benchmark (other words add nothing to an inner product with an item
 segments carry no weight. A distributed randomised SVD of the TF-IDF passages (one pass: B = A'(A Omega), then Nystroem's
 decomposition of A'A from B and Omega) gives the latent space. A passage whose projection points along an item's and covers
 enough of it is a candidate. Candidates are checked where they are found: longest common subsequence of words, and how much of
-the item's last words, its answer, the subsequence holds.
+the item's last words, its answer, the subsequence holds. Beside this, every run of ``RUN`` consecutive words of an item (of all
+its words, if it has fewer) is looked up by hash, wherever it stands in text and item; it needs no projection and no answer.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ SEGMENT, WINDOW, PIECE = 32, 3, 64
 COMMON, FEW = 0.001, 3
 ANSWER = 8
 COSINE, COVER, LCS, ANSWERED, SURE = 0.25, 0.3, 0.6, 0.5, 0.8
+#: Consecutive words of an item that are a leak by themselves.
+RUN = 13
 TERMS = 256
 _GAPS = bytes(b if 48 <= b < 58 or 97 <= b < 123 or b >= 128 else b + 32 if 65 <= b < 91 else 32 for b in range(256))
 
@@ -37,11 +40,22 @@ def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Items:
-    """Benchmark pieces of at most PIECE words: the item of each, its words, and the distinct terms of all."""
+    """Benchmark pieces of at most PIECE words: the item of each, its words, and the distinct terms of all; and runs by their lengths."""
 
     item: list[int]
     words: list[np.ndarray]
     terms: np.ndarray
+    runs: dict[int, tuple[np.ndarray, np.ndarray]]  # ascending hashes, and a piece that holds each
+
+
+def run_hashes(h: np.ndarray, sizes) -> dict[int, np.ndarray]:
+    """For every size the hashes of so many consecutive words, by the first of them. Texts that follow each other are not kept apart."""
+    out, value = {}, np.zeros(len(h), np.uint64)
+    for k in range(min(max(sizes, default=0), len(h))):
+        value = (value[: len(h) - k] + h[k:]) * np.uint64(0xD6E8FEB86659FD93 + 2 * k)
+        if k + 1 in sizes:
+            out[k + 1] = value
+    return out
 
 
 def read_items(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", most_bytes: int = 64 << 20) -> Items:
@@ -53,13 +67,28 @@ def read_items(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "t
     own = sorted({(r["i"], r["t"]) for r in rows.collect()})
     h, counts = words([t.encode() for _, t in own])
     ends = np.cumsum(counts)
-    item, pieces = [], []
+    item, pieces, runs = [], [], {}
     for (i, _), end, n in zip(own, ends, counts, strict=True):
-        for part in np.array_split(h[end - n : end], max(1, -(-n // PIECE))):
-            if len(part):
-                item.append(i)
-                pieces.append(part)
-    return Items(item, pieces, np.unique(np.concatenate(pieces)) if pieces else np.empty(0, np.uint64))
+        if not n:
+            continue
+        cuts = np.cumsum([0] + [len(x) for x in np.array_split(np.empty(n), -(-n // PIECE))])
+        middle = (cuts[1:] + cuts[:-1]) // 2
+        # the parts, and others from the middle of one to the middle of the next
+        parts = [*zip(cuts[:-1], cuts[1:], strict=True), *zip(middle[:-1], middle[1:], strict=True)]
+        size = int(min(n, RUN))
+        value = run_hashes(h[end - n : end], {size})[size]
+        first = np.arange(len(value))
+        where = np.zeros(len(value), np.int64)
+        for low, high in parts:
+            where[(first >= low) & (first + size <= high)] = len(pieces)
+            item.append(i)
+            pieces.append(h[end - n + low : end - n + high])
+        runs.setdefault(size, []).append((value, where))
+    for size, found in runs.items():
+        value, where = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(value, kind="stable")
+        runs[size] = value[order], where[order]
+    return Items(item, pieces, np.unique(np.concatenate(pieces)) if pieces else np.empty(0, np.uint64), runs)
 
 
 def segmented(texts: list[bytes], terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -160,13 +189,14 @@ class Space:
     terms: np.ndarray
     project: np.ndarray  # (terms, k): weight times direction
     pieces: np.ndarray  # (pieces, k)
+    runs: dict[int, tuple[np.ndarray, np.ndarray]]
 
 
 def fit(docs: DataFrame, items: Items, text_col: str = "text", extra: int = 32, most_rank: int = 512, seed: int = 11) -> Space:
     """Term counts and the randomised SVD over all passages of ``docs``. Rank: a direction for each piece and ``extra`` more, up to ``most_rank``."""
     texts, terms = docs.select(F.col(text_col).alias("text")), items.terms
     if not len(terms):
-        return Space(np.empty(0, int), [], terms, np.zeros((0, 1)), np.zeros((0, 1)))
+        return Space(np.empty(0, int), [], terms, np.zeros((0, 1)), np.zeros((0, 1)), {})
     found = {r["term"]: r["n"] for r in texts.mapInArrow(_counted(terms), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
     n = max(1, found.get(-1, 0))
     df = np.array([found.get(k, 0) for k in range(len(terms))])
@@ -192,7 +222,7 @@ def fit(docs: DataFrame, items: Items, text_col: str = "text", extra: int = 32,
     b = np.vstack([np.frombuffer(r["data"]).reshape(-1, rank) for r in parts]) if parts else np.zeros(omega.shape)
     # the items are passages too
     basis = nystroem(b + rows.T @ (rows @ omega), omega)
-    return Space(np.array(items.item), items.words, terms, (idf[:, None] * basis).astype(np.float32), (rows @ basis).astype(np.float32))
+    return Space(np.array(items.item), items.words, terms, (idf[:, None] * basis).astype(np.float32), (rows @ basis).astype(np.float32), items.runs)
 
 
 def common_subsequence(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -210,18 +240,49 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.array([not v >> i & 1 for i in range(len(a))], bool)
 
 
+def found_runs(h: np.ndarray, counts: np.ndarray, runs: dict[int, tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """First words of all runs of items in the texts, and the pieces that hold them."""
+    left = np.repeat(np.cumsum(counts), counts) - np.arange(len(h))
+    at, piece = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for size, value in run_hashes(h, set(runs)).items():
+        known, where = runs[size]
+        # most places are ruled out by 20 bits of their hash
+        maybe = np.zeros(1 << 20, bool)
+        maybe[(known >> np.uint64(44)).astype(np.int64)] = True
+        hit = np.flatnonzero(maybe[(value >> np.uint64(44)).astype(np.int64)] & (left[: len(value)] >= size))
+        low = np.searchsorted(known, value[hit])
+        n = np.searchsorted(known, value[hit], "right") - low
+        at.append(np.repeat(hit, n))
+        piece.append(where[np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())])
+    return np.concatenate(at), np.concatenate(piece)
+
+
 def leaks(texts: list[bytes], space: Space) -> list[dict[int, tuple[float, float, float]]]:
     """Of every text the items in it, with cosine, share of the item in the common subsequence, and share of its answer."""
     out: list[dict[int, tuple[float, float, float]]] = [{} for _ in texts]
     if not len(space.terms):
         return out
     h, counts, parts, segment, term = segmented(texts, space.terms)
-    if not len(term):
+    begin, first = np.cumsum(counts) - counts, np.cumsum(parts) - parts
+    place, piece = found_runs(h, counts, space.runs)
+    if not len(term) and not len(place):
         return out
     size = np.linalg.norm(space.pieces, axis=1)
-    begin, first = np.cumsum(counts) - counts, np.cumsum(parts) - parts
     owner = np.repeat(np.arange(len(texts)), parts)
     rows = _neighbours(_summed(space.project[term], segment, int(parts.sum())), parts, True)
+
+    def judge(window: int, j: int, cosine: float, run: bool) -> None:
+        text = owner[window]
+        start = begin[text] + (window - first[text]) * SEGMENT
+        region = h[start : min(start + WINDOW * SEGMENT, begin[text] + counts[text])]
+        held = common_subsequence(space.words[j], region)
+        share, answer = float(held.mean()), float(held[-ANSWER:].mean())
+        if run or share >= LCS and (answer >= ANSWERED or share >= SURE):
+            now = (round(cosine, 3), round(share, 4), round(answer, 4))
+            item = int(space.item[j])
+            if item not in out[text] or out[text][item][1:] < now[1:]:
+                out[text][item] = now
+
     some = np.flatnonzero(rows.any(1))
     for low in range(0, len(some), 4096):
         at = some[low : low + 4096]
@@ -231,23 +292,20 @@ def leaks(texts: list[bytes], space: Space) -> list[dict[int, tuple[float, float
             cosine = dot / (np.linalg.norm(p, axis=1)[:, None] * size)
             cover = dot / size**2
         for i, j in zip(*np.nonzero((cosine >= COSINE) & (cover >= COVER)), strict=True):
-            text = owner[at[i]]
-            start = begin[text] + (at[i] - first[text]) * SEGMENT
-            region = h[start : min(start + WINDOW * SEGMENT, begin[text] + counts[text])]
-            held = common_subsequence(space.words[j], region)
-            share, answer = float(held.mean()), float(held[-ANSWER:].mean())
-            if share >= LCS and (answer >= ANSWERED or share >= SURE):
-                now = (round(float(cosine[i, j]), 3), round(share, 4), round(answer, 4))
-                item = int(space.item[j])
-                if out[text].get(item, (0, 0, 0))[1:] < now[1:]:
-                    out[text][item] = now
+            judge(at[i], j, float(cosine[i, j]), False)
+    text = np.searchsorted(np.cumsum(counts), place, "right")
+    window = first[text] + (place - begin[text]) // SEGMENT
+    for i, j in np.unique(np.stack([window, piece], axis=1), axis=0):
+        norm = float(np.linalg.norm(rows[i]) * size[j])
+        judge(i, j, float(rows[i] @ space.pieces[j]) / norm if norm else 0.0, True)
     return out
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Benchmark items in documents: (doc_id, item_id, cosine, lcs, answer), a row for each document and item.
 
-    Whole texts are searched. Null and empty texts hold nothing; an empty benchmark gives no rows. Repeated rows give one row; a null
+    Whole texts are searched. A run of ``RUN`` consecutive words of an item, or a whole item of fewer words, is a leak whatever its lcs and
+    answer are; those are of the piece that holds the run. Null and empty texts hold nothing; an empty benchmark gives no rows. Repeated rows give one row; a null
     doc_id stays null. Other columns are not looked at.
     """
     space = fit(docs, read_items(benchmark), text_col)

@@ -181,6 +181,23 @@ def test_leaks_and_paraphrases(spark, docs):
     assert decontamination.find_leaks(table, bench.limit(0)).count() == 0 and decontamination.find_leaks(table.limit(0), bench).count() == 0
 
 
+def test_verbatim_runs_are_leaks(spark):
+    rng = np.random.default_rng(16)
+    text = lambda n: " ".join(f"v{i}" for i in rng.integers(0, 5000, n))
+    items = {1: text(59), 2: text(100), 3: text(40), 4: text(5), 5: text(59), 6: text(200)}
+    part = lambda k, low, high: " ".join(items[k].split()[low:high])
+    runs = [(1, 0, 46), (1, 5, 40), (2, 27, 72), (2, 44, 57), (3, 0, 13), (3, 27, 40), (4, 0, 5), (6, 44, 57), (6, 93, 106), (6, 187, 200)]
+    rows = {k: f"{text(int(n))} {part(*run)} {text(60)}" for k, (run, n) in enumerate(zip(runs, (0, 25, 31, 90, 95, 300, 64, 70, 28, 7), strict=True))}
+    rows |= {20: f"{text(40)} {part(5, 8, 20)} {text(40)}", 21: text(300), 22: part(4, 0, 2), 23: f"{part(5, 0, 7)}"}
+    # the next text goes on where one ends
+    rows |= {24: part(5, 7, 14)}
+    table = spark.createDataFrame(list(rows.items()), "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.find_leaks(table, bench).collect()}
+    assert got == {(k, run[0]) for k, run in enumerate(runs)}
+    assert {r["doc_id"] for r in decontamination.drop_leaks(table, bench).collect()} == set(rows) - set(range(len(runs)))
+
+
 def test_common_subsequence():
     rng = np.random.default_rng(0)
     for _ in range(200):
