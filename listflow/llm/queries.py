@@ -1,4 +1,4 @@
-"""The ten operators as registered queries over whole tables, and SQL where SQL can express them."""
+"""The operators as registered queries over whole tables, and SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, licences, mixing, near_dup, ngram_lm, pii, quality, topk, warc
+from . import alignment, chat, decontamination, licences, mixing, near_dup, ngram_lm, pii, quality, token_files, topk, warc
 from .shared import Scratch, fixed
 
 
@@ -69,13 +69,39 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
         kept.drop()
 
 
+def op11_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    kept = Scratch(spark)
+    try:
+        path = f"{kept.path}/ids"
+        token_files.write_token_ids(_read(spark, folder, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+        back = token_files.read_token_ids(spark, path, as_bytes=True)
+        return fixed(back.select("doc_id", "start", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")))
+    finally:
+        kept.drop()
+
+
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    kept = Scratch(spark)
+    try:
+        a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+        rows, _ = alignment.align(_read(spark, folder, "documents"), a, b, kept)
+        digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+        return fixed(rows.withColumn("groups_sha256", digest).drop("groups"))
+    finally:
+        kept.drop()
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, folder)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op2_quality, op3_lm, op4_neardup, op5_chat, op6_mixing, op7_licences, op8_decontamination, op9_topk, op10_warc, pipeline)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op2_quality, op3_lm, op4_neardup, op5_chat, op6_mixing, op7_licences, op8_decontamination, op9_topk, op10_warc, op11_token_ids, op12_alignment, pipeline)}
 
 _ESCAPED = "replace(replace(replace(replace({}, chr(92), chr(92) || 's'), '<', chr(92) || 'l'), '|', chr(92) || 'p'), '#', chr(92) || 'h')"
 
