@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import Scratch
-from .subwords import Remembered, by_bytes, chunks, gathered, in_strings
+from .subwords import Remembered, by_bytes, chunks, gathered, in_strings, one_thread
 
 #: Tokens of the first tokenizer in a lane, about.
 LANE = 256
@@ -52,6 +52,7 @@ def byte_level(path: str) -> Side:
     """A byte-level tokenizer of the tokenizers library. Special tokens' strings are plain text."""
     from tokenizers import Tokenizer
 
+    one_thread()
     own = Tokenizer.from_file(path)
     own.encode_special_tokens = True
     value = byte_values()

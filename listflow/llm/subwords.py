@@ -6,8 +6,9 @@ The pieces of many texts are mostly the same few: the tokenizer encodes those it
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Sequence
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,11 @@ def _flat(ids: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum())), size
 
 
+def one_thread() -> None:
+    """A task has a core; the tokenizers library takes them all unless told otherwise."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+
+
 def in_strings(encode: Callable[[list[str]], Sequence[Sequence[int]]], blank: str = ""):
     """An encoder of many pieces from ``encode``, which takes texts: pieces go in strings of TOGETHER, with U+0001 after each.
 
@@ -46,12 +52,15 @@ def in_strings(encode: Callable[[list[str]], Sequence[Sequence[int]]], blank: st
 
     def run(pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         alone = pc.match_substring_regex(pieces, f"\\x{{1}}|[{_SPACE}]$")
-        plain = pieces.filter(pc.invert(alone)).to_pylist()
-        ids, _ = _flat(encode([after.join([*plain[k : k + TOGETHER], ""]) for k in range(0, len(plain), TOGETHER)]))
+        plain = pieces.filter(pc.invert(alone)) if pc.any(alone).as_py() else pieces
+        # the marked pieces stand one after the other in Arrow's buffer
+        marked = pc.binary_join_element_wise(plain, pa.scalar(after, pa.large_string()), pa.scalar("", pa.large_string()))
+        cuts = np.frombuffer(marked.buffers()[1], np.int64)[[*range(0, len(marked), TOGETHER), len(marked)]].tolist() if len(marked) else []
+        ids, _ = _flat(encode([str(memoryview(marked.buffers()[2])[x:y], "utf-8") for x, y in pairwise(cuts)]))
         ends = np.flatnonzero(ids == mark)
         if len(ends) != len(plain):
             raise ValueError("U+0001 does not part the pieces")
-        rest, rest_size = _flat(encode(pieces.filter(alone).to_pylist()))
+        rest, rest_size = _flat(encode(pieces.filter(alone).to_pylist()) if len(plain) < len(pieces) else [])
         alone = alone.to_numpy(zero_copy_only=False)
         start, size = np.empty(len(pieces), np.int64), np.empty(len(pieces), np.int64)
         start[~alone], size[~alone] = np.append(0, ends + 1)[: len(ends)], np.diff(ends, prepend=-1) - 1

@@ -15,11 +15,12 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .subwords import Remembered, by_bytes, gathered, in_strings, words
+from .subwords import Remembered, by_bytes, gathered, in_strings, one_thread, words
 
 U64 = np.uint64
 MAGIC = b"S8BLOCKS"
@@ -28,9 +29,9 @@ BLOCK = 1024
 BITS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 COUNT = 60 // BITS
 #: Ids that are coded at a time, and that a file holds before the next one begins.
-GROUP, FILE = 1 << 20, 1 << 24
+GROUP, FILE = 1 << 18, 1 << 24
 #: Text that is tokenized at a time, in bytes.
-BATCH = 1 << 20
+BATCH = 4 << 20
 #: Documents of about so many ids are handed on together.
 OUT = 1 << 18
 _INDEX = np.dtype([("at", "<u8"), ("words", "<u4"), ("escapes", "<u4"), ("ids", "<u4")])
@@ -179,19 +180,40 @@ class _File:
         return self.name, len(docs), self.ids
 
 
+#: Latin letters (to U+00FF, composed) and ASCII signs behind them, without the apostrophe, which may begin an ending.
+_PLAIN = r"^(?P<core>[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]+)(?P<tail>[!-&(-/:-@\[-`{-~]*)$"
+
+
 def encoder(path: str):
-    """A function from texts to their ids and sizes, by a file of the tokenizers library whose pre-tokenizer drops white space."""
+    """A function from texts to their ids and sizes, by a file of the tokenizers library that puts texts into lower case, drops
+    white space, and begins anew between letters and signs.
+
+    Words of Latin letters with signs behind them are taken apart there and are in normal form once they are in lower case.
+    """
     from tokenizers import Tokenizer
 
-    own = Tokenizer.from_file(path)
-    known = Remembered(in_strings(lambda texts: [x.ids for x in own.encode_batch_fast(texts, add_special_tokens=False)], " "))
+    one_thread()
+    own, bare = Tokenizer.from_file(path), Tokenizer.from_file(path)
+    bare.normalizer = None
+    whole, split = (Remembered(in_strings(lambda texts, t=t: [x.ids for x in t.encode_batch_fast(texts, add_special_tokens=False)], " ")) for t in (own, bare))
 
     def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         parts, per_text = words(texts)
-        slot = known.slots(parts.dictionary)[parts.indices.to_numpy()]
-        size = known.size[slot]
+        found = pc.extract_regex(parts.dictionary, _PLAIN)
+        plain = found.is_valid()
+        two = [pc.struct_field(found, k).filter(plain) for k in range(2)]
+        two = pa.concat_arrays([pc.utf8_lower(two[0]), two[1]]).dictionary_encode()
+        plain = plain.to_numpy(zero_copy_only=False)
+        slot = split.slots(two.dictionary)[two.indices.to_numpy()].reshape(2, -1).T
+        rest = whole.slots(parts.dictionary.filter(pa.array(~plain)))
+        # a word is two runs of ids, the second one mostly empty
+        start, size = np.zeros((len(plain), 2), np.int64), np.zeros((len(plain), 2), np.int64)
+        start[plain], size[plain] = split.start[slot], split.size[slot]
+        start[~plain, 0], size[~plain, 0] = len(split.flat) + whole.start[rest], whole.size[rest]
+        code = parts.indices.to_numpy()
+        ids = np.append(split.flat, whole.flat)[gathered(start[code].ravel(), size[code].ravel())]
         owner = np.repeat(np.arange(len(texts)), per_text)
-        return known.flat[gathered(known.start[slot], size)].astype(np.int64), np.bincount(owner, weights=size, minlength=len(texts)).astype(np.int64)
+        return ids.astype(np.int64), np.bincount(owner, weights=size.sum(1)[code], minlength=len(texts)).astype(np.int64)
 
     return encode
 
