@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, chat, decontamination, licences, mixing, near_dup, ngram_lm, pii, quality, token_files, topk, warc
+from . import alignment, chat, decontamination, licences, mixing, near_dup, ngram_lm, periodic, pii, quality, token_files, topk, warc
 from .shared import Scratch, fixed
 
 
@@ -95,13 +95,23 @@ def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
         kept.drop()
 
 
+def op13_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents").select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    # a tenth of the documents repeat part of their words, as the contract has it
+    split = docs.withColumn("w", F.expr(r"if(h % 10 = 0, filter(split(text, '[\\x20\\x09-\\x0D]+', -1), x -> x <> ''), null)"))
+    begin = split.withColumn("n", F.size("w")).withColumn("g", F.expr("h div 10")).withColumn("a", F.expr("if(n > 0, cast(g % n as int), 0)"))
+    period = begin.withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    text = F.expr("if(n > 0, array_join(transform(sequence(0, n - 1), i -> get(w, if(i < a, i, a + (i - a) % p))), ' '), text)")
+    return periodic.digests(periodic.periodic_runs(period.select("doc_id", text.alias("text"))))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, folder)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op2_quality, op3_lm, op4_neardup, op5_chat, op6_mixing, op7_licences, op8_decontamination, op9_topk, op10_warc, op11_token_ids, op12_alignment, pipeline)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op2_quality, op3_lm, op4_neardup, op5_chat, op6_mixing, op7_licences, op8_decontamination, op9_topk, op10_warc, op11_token_ids, op12_alignment, op13_runs, pipeline)}
 
 _ESCAPED = "replace(replace(replace(replace({}, chr(92), chr(92) || 's'), '<', chr(92) || 'l'), '|', chr(92) || 'p'), '#', chr(92) || 'h')"
 
