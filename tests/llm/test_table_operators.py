@@ -208,6 +208,54 @@ def test_common_subsequence():
         assert decontamination.common_subsequence(a, b).sum() == grid[-1, -1]
 
 
+def test_warc_commits_add_up_or_replace(spark, tmp_path):
+    kept = Scratch(spark)
+    pages = spark.createDataFrame([(k, f"u{k}", f"<p>{k}") for k in range(1, 5)], "page_id long, url string, html string")
+    path = f"{tmp_path}/w"
+    for k in (1, 2):
+        warc.write_warc(pages.where(f"page_id = {k}"), path, kept)
+    assert sorted(r["page_id"] for r in warc.read_warc(spark, path).collect()) == [1, 2]
+    warc.write_warc(pages.where("page_id = 3"), path, kept, mode="overwrite")
+    assert [r["page_id"] for r in warc.read_warc(spark, path).collect()] == [3]
+    warc.write_warc(pages.where("page_id = 4"), path, kept)
+    assert sorted(r["page_id"] for r in warc.read_warc(spark, path).collect()) == [3, 4]
+    kept.drop()
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_warc_archives_of_others(spark, tmp_path, packed):
+    html = "é" * 200_000
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n{html}".encode()
+
+    def other(kind, block, *more):
+        head = ["WARC/1.0", f"WARC-Type: {kind}", "WARC-Record-ID: <urn:uuid:12-ab>", "WARC-Date: 2020-01-01T00:00:00Z", *more, f"Content-Length: {len(block)}", "", ""]
+        return "\r\n".join(head).encode() + block + b"\r\n\r\n"
+
+    body = "application/http; msgtype=response"
+    three = [
+        other("warcinfo", b"software: x\r\n\r\n", "Content-Type: application/warc-fields"),
+        other("response", http, f"Content-Type: {body}", "WARC-Target-URI: http://a/", "WARC-Payload-Digest: md5:00"),
+        other("revisit", http[:40], f"Content-Type: {body}", "WARC-Refers-To: <urn:uuid:12-ab>"),
+        other("response", b"HTTP/1.1 204 No Content\r\n\r\n", f"Content-Type: {body}", f"WARC-Payload-Digest: sha1:{warc.digest(b'')}"),
+    ]
+    import gzip
+
+    (tmp_path / ("a.warc.gz" if packed else "a.warc")).write_bytes(b"".join(gzip.compress(x) if packed else x for x in three))
+    rows = warc.read_warc(spark, str(tmp_path)).collect()
+    assert [r["record_type"] for r in rows] == ["warcinfo", "response", "revisit", "response"]
+    assert [r["payload_bytes"] for r in rows] == [15, len(html.encode()), None, 0]
+    assert bytes(rows[1]["payload"]) == html.encode() and bytes(rows[3]["payload"]) == b"" and rows[2]["payload"] is None
+    assert {r["page_id"] for r in rows} == {None} and rows[0]["record_id"] == rows[2]["refers_to_id"] == "<urn:uuid:12-ab>"
+    heads = warc.read_warc(spark, str(tmp_path), payloads=False).collect()
+    assert [r["payload_bytes"] for r in heads] == [15, len(html.encode()), None, 0]
+    assert warc.read_warc(spark, str(tmp_path), payloads=False).where("target_uri = 'http://a/'").count() == 1
+    bad = other("response", http, f"Content-Type: {body}", f"WARC-Payload-Digest: sha1:{warc.digest(b'x')}")
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "b.warc").write_bytes(bad)
+    with pytest.raises(Exception, match="headers say"):
+        warc.read_warc(spark, f"{tmp_path}/b").collect()
+
+
 def test_warc_round_trip(spark, tmp_path):
     import base64
     import hashlib
