@@ -1,5 +1,6 @@
 import itertools
 import re
+from fractions import Fraction
 from math import floor
 
 import numpy as np
@@ -135,28 +136,43 @@ def test_bounds_hold():
             assert (topk.segments(q, parts) @ topk.segments(x, parts).T >= q @ x.T - 1e-9).all()
 
 
-def test_pfair_period():
-    for weights in ({"a": 1}, {"a": 0.5, "b": 0.3, "c": 0.2}, {k: 1.0 + k for k in range(17)}, {"x": 1e-9, None: 1.0}):
-        share = mixing.quantised(weights, 128)
-        plan = mixing.period(share)
-        assert sum(share.values()) == 128 and [p[2] for p in plan] == list(range(128))
-        done = dict.fromkeys(share, 0)
-        for s, k, slot, release, deadline in plan:
-            assert k == done[s] and release <= slot < deadline
-            done[s] += 1
-            assert all(abs(done[x] - (slot + 1) * share[x] / 128) < 1 for x in share)
+@pytest.mark.parametrize("weights", [{"a": 1}, {"a": 0.5, "b": 0.3, "c": 0.2}, {k: 1.0 + k for k in range(17)}, {"x": 1e-9, None: 1.0}, {"third": 1 / 3, "odd": 0.1005, "rest": 2 / 3 - 0.1005}])
+def test_schedule_keeps_to_the_wanted_weights(weights):
+    total = sum(map(Fraction, weights.values()))
+    wanted = {s: Fraction(w) / total for s, w in weights.items()}
+    blocks = {s: 1 + int(3000 * w) for s, w in wanted.items()}
+    plan, horizon = mixing.schedule(mixing.whole(weights), blocks)
+    assert [p[2] for p in plan] == list(range(sum(blocks.values()))) and min(blocks.values()) <= horizon <= len(plan)
+    done = dict.fromkeys(weights, 0)
+    for s, k, slot, release, deadline in plan:
+        assert k == done[s] and release <= slot < deadline
+        done[s] += 1
+        assert slot >= horizon or all(abs(done[x] - (slot + 1) * wanted[x]) < 1 for x in weights)
+    assert done == blocks
+
+
+def test_schedule_does_not_drift_over_a_million_slots():
+    weights = {"third": 1 / 3, "odd": 0.1005, "rest": 2 / 3 - 0.1005}
+    plan, horizon = mixing.schedule(mixing.whole(weights), {s: 1 + int(1_000_000 * w) for s, w in weights.items()})
+    source = np.array([p[0] for p in plan])[:horizon]
+    assert horizon > 999_000
+    for s, w in weights.items():
+        assert np.abs(np.cumsum(source == s) - np.arange(1, horizon + 1) * w).max() < 1
 
 
 def test_mixture_is_whole_and_on_target(spark, docs):
     table = docs.select("doc_id", "source", F.lit(1).alias("slot")).unionByName(spark.range(900).selectExpr("id + 100 doc_id", "if(id % 3 = 0, 'hot', concat('s', id % 4)) source", "1 slot"))
     weights = {"hot": 0.5, "s0": 0.1}
-    rows = mixing.mix(table, weights, block=4, quanta=64).collect()
+    rows = mixing.mix(table, weights, block=4).collect()
     assert sorted((str(r["doc_id"]), str(r["source"])) for r in rows) == sorted((str(r["doc_id"]), str(r["source"])) for r in table.collect())
     assert len({(r["slot"], r["place"]) for r in rows}) == len(rows)
     assert all(r["release"] <= r["slot"] < r["deadline"] for r in rows)
     slots = {r["slot"]: r["source"] for r in rows if r["on_target"]}
     assert sorted(slots) == list(range(len(slots))) and len(slots) > 2
-    assert abs(sum(s == "hot" for s in slots.values()) - 0.5 * len(slots)) < 1 + len(slots) / 32
+    for upto in range(1, len(slots) + 1):
+        assert abs(sum(slots[k] == "hot" for k in range(upto)) - 0.5 * upto) < 1 and abs(sum(slots[k] == "s0" for k in range(upto)) - 0.1 * upto) < 1
+    coarse = mixing.mix(table, weights, block=4, most_blocks=10).collect()
+    assert len(coarse) == len(rows) and len({r["slot"] for r in coarse}) <= 10 + 6
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
