@@ -75,6 +75,39 @@ def parse(text: str) -> list[str] | None:
     return out if operand else None
 
 
+def beginning(text: str) -> str:
+    """The longest beginning that is a licence expression, '' if there is none.
+
+    The whole text, if it is one. Else prose or a comment may follow, so that identifiers behind an operator must look like one:
+    a capital, a figure or a sign, or one of ``ALLOWED``.
+    """
+    if parse(text):
+        return text
+    depth, operand, at, upto = 0, False, 0, 0
+    for item in _ITEM.finditer(text):
+        word, name = item[0], item[0].lower()
+        if text[at : item.start()].strip():
+            break
+        if name in _RANK:
+            if not operand:
+                break
+            operand = False
+        elif word == ")":
+            if not operand or not depth:
+                break
+            depth -= 1
+        elif operand or word != "(" and upto and word.isalpha() and word.islower() and name not in ALLOWED:
+            break
+        elif word == "(":
+            depth += 1
+        else:
+            operand = True
+        at = item.end()
+        if operand and not depth:
+            upto = at
+    return text[:upto]
+
+
 def permitted(postfix: list[str], allowed: tuple[str, ...] = ALLOWED) -> bool:
     """Whether the expression lets the text be used: a choice needs one allowed side, a conjunction both; an exception only widens."""
     stack: list[bool] = []
@@ -116,6 +149,7 @@ def scan(raw: bytes, find: ahocorasick.Automaton, allowed: tuple[str, ...] = ALL
         notices.append({"label": label, "kind": kind, "word": place, "weight": 0.9 if kind == "base" else NOTICES[phrase][1]})
     for text in (m[1].decode("utf-8", "replace") for m in _TAG_LINE.finditer(raw) if tagged):
         text = text.split("*/")[0].split("-->")[0].strip()
+        text = beginning(text) or text
         postfix = parse(text)
         names = sorted({x for x in postfix if x not in _RANK}) if postfix else []
         expressions.append({"text": text, "valid": postfix is not None, "permitted": bool(postfix) and permitted(postfix, allowed), "names": names})
@@ -145,8 +179,8 @@ def _scanned(allowed: tuple[str, ...]):
 def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
     """Notices and licence expressions of every whole text: (doc_id, n_words, notices, expressions).
 
-    A row for each row; a null or empty text has no words and no notices. Overlapping and repeated notices all count. Tags
-    with a malformed expression are kept as not valid. A null id stays null; other columns are not looked at.
+    A row for each row; a null or empty text has no words and no notices. Overlapping and repeated notices all count. Behind a
+    tag the longest beginning of the line that is an expression counts; a tag without one is kept as not valid. A null id stays null; other columns are not looked at.
     """
     kind = "doc_id long, n_words long, notices array<struct<label:string,kind:string,word:long,weight:double>>, expressions array<struct<text:string,valid:boolean,permitted:boolean,names:array<string>>>"
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(_scanned(tuple(allowed)), kind)

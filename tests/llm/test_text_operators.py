@@ -193,3 +193,24 @@ def test_licences_against_plain_search(spark, docs):
     assert got == sorted(want, key=str)
     row = licences.summary(licences.scan_licences(extra.where("doc_id = 100"))).first()
     assert row["base_labels"] == "apache-2,cc-by-nc,mit" and row["labels"] == "apache-2,cc-by-nc,mit,spdx:gpl-2.0-only,spdx:mit" and 0.99 < row["score"] <= 1
+
+
+@pytest.mark.parametrize(
+    "line, want",
+    [
+        ("MIT Permission is hereby granted", "MIT"),
+        ("Apache-2.0 // comment", "Apache-2.0"),
+        ("MIT and the notice below", "MIT"),
+        ("(MIT OR Apache-2.0) AND BSD-3-Clause, see file", "(MIT OR Apache-2.0) AND BSD-3-Clause"),
+        ("GPL-2.0 WITH Classpath-exception-2.0 OR", "GPL-2.0 WITH Classpath-exception-2.0"),
+        ("mit or isc", "mit or isc"),
+        ("(MIT OR", ""),
+        ("OR MIT", ""),
+        ("", ""),
+        ("(" * 50_000 + "MIT", ""),
+    ],
+)
+def test_longest_expression_behind_a_tag(line, want):
+    assert licences.beginning(line) == want
+    _, _, found = licences.scan(f"x SPDX-License-Identifier: {line}\nnext".encode(), licences.automaton([*licences.BASE_PHRASES, licences.TAG]))
+    assert [(e["valid"], e["text"] if e["valid"] else "") for e in found] == [(bool(want), want)]
