@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Scratch
+from .shared import Scratch, in_batches
 from .subwords import Remembered, by_bytes, chunks, gathered, in_strings, one_thread
 
 #: Tokens of the first tokenizer in a lane, about.
@@ -328,7 +328,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, kept: Scratch, id_col: str
     their counts in a join, whose hot pairs Spark splits.
     """
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    encoded = kept.keep(named.mapInArrow(_encoded(a_path, b_path), f"{STORED}, a long, b long, n long"), "tokens")
+    encoded = kept.keep(named.transform(in_batches, _encoded(a_path, b_path), f"{STORED}, a long, b long, n long"), "tokens")
     tokens = encoded.where("a is null").select("doc_id", "tokens_a", "tokens_b", "lanes_a", "lanes_b")
     counts = kept.keep(encoded.where("a is not null").groupBy("a", "b").agg(F.sum("n").alias("n")), "sums")
     # a row for each id of B at most
@@ -340,8 +340,8 @@ def align(docs: DataFrame, a_path: str, b_path: str, kept: Scratch, id_col: str
         key = rows["a"].to_numpy() * len(long[1]) + rows["b"].to_numpy()
         order = np.argsort(key)
         sent = docs.sparkSession.sparkContext.broadcast((key[order], rows["n"].to_numpy()[order], rows["best"].to_numpy()[order]))
-        return tokens.mapInArrow(_aligned(long, sent), f"{WALKED}, n_best long, count_sum long"), counts
-    walked = kept.keep(tokens.mapInArrow(_linked(long), f"row string, {WALKED}, a long, b long, links long"), "walked")
+        return tokens.transform(in_batches, _aligned(long, sent), f"{WALKED}, n_best long, count_sum long"), counts
+    walked = kept.keep(tokens.transform(in_batches, _linked(long), f"row string, {WALKED}, a long, b long, links long"), "walked")
     links = walked.where("a is not null").select("row", "a", "b", "links").join(counts.hint("merge"), ["a", "b"])
     zero = F.lit(0).cast("long")
     sums = links.groupBy("row").agg(F.sum(F.when(F.col("best"), F.col("links")).otherwise(zero)).alias("n_best"), F.sum(F.col("links") * F.col("n")).alias("count_sum"))

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import scratch
+from .shared import in_batches, scratch
 from .words import hashes, slices, utf8
 
 SEGMENT, WINDOW, PIECE = 32, 3, 64
@@ -197,7 +197,7 @@ def fit(docs: DataFrame, items: Items, text_col: str = "text", extra: int = 32,
     texts, terms = docs.select(F.col(text_col).alias("text")), items.terms
     if not len(terms):
         return Space(np.empty(0, int), [], terms, np.zeros((0, 1)), np.zeros((0, 1)), {})
-    found = {r["term"]: r["n"] for r in texts.mapInArrow(_counted(terms), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
+    found = {r["term"]: r["n"] for r in texts.transform(in_batches, _counted(terms), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
     n = max(1, found.get(-1, 0))
     df = np.array([found.get(k, 0) for k in range(len(terms))])
     idf = np.log1p(n / (1 + df))
@@ -217,7 +217,7 @@ def fit(docs: DataFrame, items: Items, text_col: str = "text", extra: int = 32,
     omega = np.linalg.qr(np.random.default_rng(seed).normal(size=(len(terms), rank)))[0]
     with scratch(docs.sparkSession) as kept:
         kind = "salt long, at long, data binary"
-        parts = texts.mapInArrow(_sketched(terms, idf, omega), kind).groupBy("at", "salt").applyInPandas(_added, kind)
+        parts = texts.transform(in_batches, _sketched(terms, idf, omega), kind).groupBy("at", "salt").applyInPandas(_added, kind)
         parts = kept.keep(parts.groupBy("at", "salt").applyInPandas(_added, kind).groupBy("at").applyInPandas(_added, kind), "sketch").orderBy("at").collect()
     b = np.vstack([np.frombuffer(r["data"]).reshape(-1, rank) for r in parts]) if parts else np.zeros(omega.shape)
     # the items are passages too
@@ -318,7 +318,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), (pa.int64(), pa.int64(), *[pa.float64()] * 3), strict=True)], ["doc_id", "item_id", "cosine", "lcs", "answer"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, item_id long, cosine double, lcs double, answer double")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).transform(in_batches, run, "doc_id long, item_id long, cosine double, lcs double, answer double")
     return rows.groupBy("doc_id", "item_id").agg(F.max("cosine").alias("cosine"), F.max("lcs").alias("lcs"), F.max("answer").alias("answer"))
 
 
@@ -332,4 +332,4 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") ->
             keep = [not own for part in slices(texts) for own in leaks(texts[part], space)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(in_batches, run, docs.schema)

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import in_batches
 from .words import utf8
 
 # The base phrases and their labels.
@@ -183,7 +184,7 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     tag the longest beginning of the line that is an expression counts; a tag without one is kept as not valid. A null id stays null; other columns are not looked at.
     """
     kind = "doc_id long, n_words long, notices array<struct<label:string,kind:string,word:long,weight:double>>, expressions array<struct<text:string,valid:boolean,permitted:boolean,names:array<string>>>"
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(_scanned(tuple(allowed)), kind)
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).transform(in_batches, _scanned(tuple(allowed)), kind)
 
 
 def summary(scans: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Scratch, fixed, scratch
+from .shared import Scratch, fixed, in_batches, scratch
 from .words import hashes, mix, shingles, slices, utf8
 
 U64 = np.uint64
@@ -145,11 +145,11 @@ def _proposed(kept: Scratch, rows: DataFrame, name: str) -> tuple[DataFrame, Dat
 def _confirmed(kept: Scratch, docs: DataFrame, edges: DataFrame, width: int, percent: int, name: str) -> DataFrame:
     ids = edges.select(F.col("m").alias("id")).union(edges.select("c")).distinct()
     # one plan at every size: texts are dealt by id, once in a round, and only those of candidates are read again
-    sets = kept.keep(docs.join(ids.hint("merge"), "id", "left_semi").mapInArrow(_sets(width), "id long, shingles binary"), f"{name}-sets")
+    sets = kept.keep(docs.join(ids.hint("merge"), "id", "left_semi").transform(in_batches, _sets(width), "id long, shingles binary"), f"{name}-sets")
     sets = sets.dropDuplicates(["id"]) if not sets.groupBy("id").count().where("count > 1").isEmpty() else sets
     one = edges.join(sets.select(F.col("id").alias("m"), F.col("shingles").alias("x")), "m")
     two = one.join(sets.select(F.col("id").alias("c"), F.col("shingles").alias("y")), "c").select("m", "c", "x", "y")
-    return kept.keep(two.mapInArrow(_linked(percent), "m long, c long"), f"{name}-links")
+    return kept.keep(two.transform(in_batches, _linked(percent), "m long, c long"), f"{name}-links")
 
 
 def _overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
@@ -262,7 +262,7 @@ def _finished(kept: Scratch, docs: DataFrame, large: DataFrame, sizes: DataFrame
     lows = dealt.join(pairs.withColumn("block", F.col("low")), ["group", "block"]).withColumn("right", F.lit(False))
     highs = dealt.join(pairs.where("low < high").withColumn("block", F.col("high")), ["group", "block"]).withColumn("right", F.lit(True))
     rows = lows.unionByName(highs).select("group", "low", "high", "right", "id", "component")
-    sets = kept.keep(docs.join(dealt.select("id").distinct().hint("merge"), "id", "left_semi").mapInArrow(_sets(width), "id long, shingles binary"), "group-sets")
+    sets = kept.keep(docs.join(dealt.select("id").distinct().hint("merge"), "id", "left_semi").transform(in_batches, _sets(width), "id long, shingles binary"), "group-sets")
     sets = sets.dropDuplicates(["id"]) if not sets.groupBy("id").count().where("count > 1").isEmpty() else sets
     full = rows.join(sets, "id").select(F.xxhash64("group", "low", "high").alias("pair"), "right", "id", "component", "shingles")
     return kept.keep(full.groupBy("pair").applyInArrow(_compared(percent), "m long, c long"), "finished")
@@ -279,7 +279,7 @@ def near_duplicates(docs: DataFrame, id_col: str | Column = "doc_id", text_col:
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id") if isinstance(id_col, str) else id_col.cast("long").alias("id"), (F.col(text_col) if isinstance(text_col, str) else text_col).alias("text"))
     with scratch(docs.sparkSession) as kept:
-        signed = kept.keep(docs.mapInArrow(_signed(width, bins, rows), "id long, n long, h1 long, h2 long, keys array<long>"), "signed")
+        signed = kept.keep(docs.transform(in_batches, _signed(width, bins, rows), "id long, n long, h1 long, h2 long, keys array<long>"), "signed")
         some = signed.where("n > 0 and id is not null")
         classes = kept.keep(some.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")).where("copies > 1").drop("copies"), "classes")
         members = kept.keep(some.join(classes, ["h1", "h2"], "left").select("id", F.coalesce("rep", "id").alias("rep"), "keys"), "members")

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import fixed, scratch
+from .shared import fixed, in_batches, scratch
 from .words import hashes, mix, slices, utf8
 
 U64 = np.uint64
@@ -343,11 +343,11 @@ def score_corpus(docs: DataFrame, held: Column | None = None, id_col: str = "doc
     held = held_out(F.col(id_col)) if held is None else held
     named = docs.select(F.col(id_col).cast("long").alias("id"), held.alias("held"), F.col(text_col).alias("text"))
     with scratch(spark) as kept:
-        blocks = kept.keep(named.mapInArrow(_blocks, _BLOCKS), "blocks")
+        blocks = kept.keep(named.transform(in_batches, _blocks, _BLOCKS), "blocks")
         sizes = blocks.select(F.sum(F.octet_length("vocabulary") / 8)).first()[0] or 0
         tokens = blocks.count() * BLOCK
         few = max(12, int(sizes) // WORDS)
-        asked = blocks.mapInArrow(_asked(few), "shard int, block long, words binary, counts binary")
+        asked = blocks.transform(in_batches, _asked(few), "shard int, block long, words binary, counts binary")
         answers = kept.keep(asked.groupBy("shard").applyInPandas(_answered(few), "block long, shard int, ids binary, counts binary, n long, v long"), "answers")
         n, v = answers.where("block is null").select(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
         shards = max(12, tokens // SHARD)

@@ -22,6 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import in_batches
 from .subwords import by_bytes, words
 from .words import mix
 
@@ -206,7 +207,7 @@ def periodic_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     table gives an empty one. Other columns are not looked at. No exchange: texts stay where they are read.
     """
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return named.mapInArrow(_found(least), "doc_id long, runs array<struct<start:long,length:long,period:long>>, collapsed string")
+    return named.transform(in_batches, _found(least), "doc_id long, runs array<struct<start:long,length:long,period:long>>, collapsed string")
 
 
 def digests(found: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .shared import in_batches
 from .words import PIECE
 
 # The patterns of the base kinds, in their order.
@@ -383,7 +384,7 @@ def find_pii(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: st
                 kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), pa.array(spans, kind)], ["doc_id", "spans"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, spans array<struct<kind:string,start:long,end:long>>")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).transform(in_batches, run, "doc_id long, spans array<struct<kind:string,start:long,end:long>>")
 
 
 def mask_pii(docs: DataFrame, field: Field, text_col: str = "text") -> DataFrame:
@@ -407,7 +408,7 @@ def mask_pii(docs: DataFrame, field: Field, text_col: str = "text") -> DataFrame
                 done += [None if old is None else masked(x, s) if s else x for old, x, s in zip(texts[low:high], part, spans_of(part, field), strict=True)]
             yield batch.set_column(at, batch.schema.field(at), pa.array(done, batch.schema.field(at).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(in_batches, run, docs.schema)
 
 
 def summary(found: DataFrame) -> DataFrame:

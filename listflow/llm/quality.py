@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import in_batches
 from .words import slices, utf8
 
 #: Bytes embedded in DIM numbers; filters of WIDTH bytes every STRIDE bytes; a chunk is STEP bytes and shares its last ones with the next.
@@ -170,7 +171,7 @@ def score_docs(docs: DataFrame, net: Net, id_col: str = "doc_id", text_col: str
             for part in slices(texts):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.start, part.stop - part.start), pa.array(score(texts[part], net))], ["doc_id", "score"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, score double")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).transform(in_batches, run, "doc_id long, score double")
 
 
 def keep_good(docs: DataFrame, net: Net, text_col: str = "text", least: float = 0.5) -> DataFrame:
@@ -182,4 +183,4 @@ def keep_good(docs: DataFrame, net: Net, text_col: str = "text", least: float =
             keep = [score(texts[part], net) >= least for part in slices(texts)]
             yield batch.filter(pa.array(np.concatenate(keep) if keep else np.empty(0, bool), pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(in_batches, run, docs.schema)

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from contextlib import contextmanager
+from collections.abc import Callable
+from contextlib import contextmanager, suppress
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of an Arrow batch where the session does not set them.
+ARROW_BYTES = 4 << 20
+_ARROW = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``. Only a local session without that setting gets a folder of its own."""
@@ -58,6 +65,28 @@ def fixed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def _given_back(run: Callable) -> Callable:
+    """The stage, with what its arrays took given back to the system at its end: a worker goes on to other stages."""
+
+    def own(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with suppress(AttributeError, OSError):
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return own
+
+
+def in_batches(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``mapInArrow`` in batches bounded by bytes, not by 10,000 rows of any length: sets the session's bound if it has none."""
+    conf = df.sparkSession.conf
+    if conf.get(_ARROW, "1b") == "1b":
+        conf.set(_ARROW, str(ARROW_BYTES))
+    return df.mapInArrow(_given_back(run), schema)
+
+
 def rows_per_bin(total: int, per_bin: int, least: int = 1) -> int:
     """How many bins keep each to about ``per_bin`` of ``total``."""
     return max(least, -(-int(total) // per_bin))

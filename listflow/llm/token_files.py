@@ -20,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .shared import in_batches
 from .subwords import Remembered, by_bytes, gathered, in_strings, one_thread, words
 
 U64 = np.uint64
@@ -260,7 +261,7 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int | No
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     dealt = named.repartitionByRange(*order).sortWithinPartitions(*order)
-    dealt.mapInArrow(_written(path, tokenizer, end_id), "part long, number long, file string, docs long, ids long").write.parquet(f"{path}/files")
+    dealt.transform(in_batches, _written(path, tokenizer, end_id), "part long, number long, file string, docs long, ids long").write.parquet(f"{path}/files")
 
 
 def listed(spark: SparkSession, path: str) -> DataFrame:
@@ -338,4 +339,4 @@ def read_token_ids(spark: SparkSession, path: str, as_bytes: bool = False) -> Da
     """
     files = listed(spark, path)
     files = files.repartition(max(1, files.count()), "file")
-    return files.mapInArrow(_read(path, as_bytes), f"doc_id long, start long, ids {'binary' if as_bytes else 'array<long>'}")
+    return files.transform(in_batches, _read(path, as_bytes), f"doc_id long, start long, ids {'binary' if as_bytes else 'array<long>'}")
