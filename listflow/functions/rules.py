@@ -179,12 +179,13 @@ PRIZE_HEADING = r"^\s*(?:prize\s+description|prize\s+details|what(?:'?s| is| you
 PRIZE_REVIEW_BOAST = r"given\s+away|in\s+prizes\s+won|over\s+£[\d,]+\s+in\s+prizes|next\s+big\s+winner"
 
 # Page regions.
-DATE_SELECTORS = [".draw-date-time", ".draw-date", ".competition-draw-date", ".product-draw-date", "*draw-date", "*draw_date"]
-CAP_SELECTORS = [".total-tickets", ".tickets-total", ".max-tickets", ".total-entries", "*total-ticket", "*total-entr", "*max-ticket", "*tickets-available"]
-SUMMARY_SELECTORS = [".summary", "*product-summary", ".single-product", ".product-essential"]
-PROGRESS_SELECTORS = ["*lottery-progress", "*lty-progress"]
+DATE_SELECTORS = [".draw-date-time", ".draw-date", ".competition-draw-date", ".product-draw-date", "[class*='draw-date']", "[class*='draw_date']"]
+CAP_SELECTORS = [".total-tickets", ".tickets-total", ".max-tickets", ".total-entries", "[class*='total-ticket']", "[class*='total-entr']", "[class*='max-ticket']", "[class*='tickets-available']"]
+SUMMARY_SELECTORS = [".summary", "[class*='product-summary']", ".single-product", ".product-essential"]
+PROGRESS_SELECTORS = ["[class*='lottery-progress']", "[class*='lty-progress']"]
+TIMER_SELECTORS = [".lty-lottery-countdown-timer", "[class*='lottery']", "[class*='countdown']"]
 FOREIGN_TAGS = ["aside", "nav", "footer", "header"]
-FOREIGN_SELECTORS = [".related", ".related-products", ".upsells", ".cross-sells", "*related", "*upsell", "*carousel", "*slider", "*recommend", "*you-may"]
+FOREIGN_SELECTORS = [".related", ".related-products", ".upsells", ".cross-sells", "[class*='related']", "[class*='upsell']", "[class*='carousel']", "[class*='slider']", "[class*='recommend']", "[class*='you-may']"]
 
 # Content categories: visual weight and the least value worth naming.
 CONTENT_CATEGORIES = {

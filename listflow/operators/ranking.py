@@ -76,8 +76,10 @@ def cap_cutoff(df: DataFrame, eligible: Column, order: str, cap: int) -> Column:
     return head.agg(F.max(order).alias("cut")).scalar()
 
 
-def within_cap(df: DataFrame, eligible: Column, order: str, cap: int, out: str) -> DataFrame:
-    """Add a flag: the row is eligible and among the first ``cap`` eligible ones."""
+def within_cap(df: DataFrame, eligible: Column, order: str, cap: int | None, out: str) -> DataFrame:
+    """Add a flag: the row is eligible and among the first ``cap`` eligible ones; without a cap, that it is eligible."""
+    if cap is None:
+        return df.withColumn(out, F.coalesce(eligible, F.lit(False)))
     cut = cap_cutoff(df, eligible, order, cap)
     return df.withColumn(out, F.coalesce(eligible & (F.col(order) <= cut), F.lit(False)) if cap > 0 else F.lit(False))
 

@@ -26,8 +26,9 @@ class ReconcileConfig:
     now: str
     auto_publish: bool = True
     correct_live: bool = True
-    publish_cap: int = 200
-    correct_cap: int = 100
+    # None: no cap
+    publish_cap: int | None = 200
+    correct_cap: int | None = 100
     insert_status: str = "draft"
     min_lead_hours: float = 2
     match_key: str = "exact"  # or "permalink"

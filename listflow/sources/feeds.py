@@ -79,9 +79,20 @@ def _listings(df: DataFrame, fields: dict[str, Column], labels: Column, url_hint
     return with_category(base, "_labels", "_pin", url="_hint").select(*LISTING, *keep)
 
 
-def woo_products(raw: DataFrame, body: str = "body") -> DataFrame:
+def _each(raw: DataFrame, items: Column, name: str, place: str | None) -> DataFrame:
+    """A row per item; ``place`` names a column for its position in the feed."""
+    if place is None:
+        return raw.withColumn(name, F.explode(items))
+    return raw.select("*", F.posexplode(items).alias(place, name))
+
+
+def _kept(place: str | None) -> tuple:
+    return () if place is None else (place, "feed_page")
+
+
+def woo_products(raw: DataFrame, body: str = "body", place: str | None = None) -> DataFrame:
     """One row per live product of a captured store feed, nested as delivered."""
-    rows = raw.withColumn("p", F.explode(F.from_json(c(body), WOO_SCHEMA)))
+    rows = _each(raw, F.from_json(c(body), WOO_SCHEMA), "p", place)
     return rows.where(X.is_purchasable("p.is_purchasable")).drop(body)
 
 
@@ -105,14 +116,14 @@ def woo_fields(products: DataFrame) -> DataFrame:
     )
 
 
-def read_woo(raw: DataFrame, body: str = "body") -> DataFrame:
-    """Store feed -> product facts, live products only (pages are joined in later)."""
-    return woo_fields(woo_products(raw, body))
+def read_woo(raw: DataFrame, body: str = "body", place: str | None = None) -> DataFrame:
+    """Store feed -> product facts, live products only (``plans.captures`` joins the pages)."""
+    return woo_fields(woo_products(raw, body, place))
 
 
-def read_shopify(raw: DataFrame, body: str = "body") -> DataFrame:
+def read_shopify(raw: DataFrame, body: str = "body", place: str | None = None) -> DataFrame:
     """Shop feed -> product facts; a product is live when some variant is available."""
-    rows = raw.withColumn("p", F.explode(F.from_json(c(body), SHOPIFY_SCHEMA)["products"])).drop(body)
+    rows = _each(raw, F.from_json(c(body), SHOPIFY_SCHEMA)["products"], "p", place).drop(body)
     live = rows.where(X.has_available_variant("p.variants"))
     labels = F.concat(F.array("p.product_type"), F.coalesce("p.tags", F.array().cast("array<string>")))
     return live.select(
@@ -140,9 +151,9 @@ def unit_price(offers: str | Column) -> Column:
     return F.coalesce(single, round2(F.array_min(units)))
 
 
-def read_raffle_engine(raw: DataFrame, body: str = "body") -> DataFrame:
+def read_raffle_engine(raw: DataFrame, body: str = "body", place: str | None = None) -> DataFrame:
     """Bare array of raffles; closed ones are dropped, prices come as a ladder."""
-    rows = raw.withColumn("r", F.explode(F.from_json(c(body), RAFFLE_SCHEMA))).drop(body)
+    rows = _each(raw, F.from_json(c(body), RAFFLE_SCHEMA), "r", place).drop(body)
     title, slug = trim_ws(nz("r.title")), F.col("r.slug")
     rows = rows.where((nz("r.is_open") != "false") & (title != "") & (nz(slug) != ""))
     path = F.coalesce(_optional(rows, "draw_path"), F.lit("/product/{slug}"))
@@ -157,12 +168,12 @@ def read_raffle_engine(raw: DataFrame, body: str = "body") -> DataFrame:
         "image_url": F.coalesce(blank_to_null("r.thumbnail.url"), blank_to_null("r.thumbnail.big")),
         "entry_url": F.concat(_base(), F.replace(path, F.lit("{slug}"), slug)),
     }
-    return _listings(rows, fields, F.coalesce("r.category_ids", F.array().cast("array<string>")), slug)
+    return _listings(rows, fields, F.coalesce("r.category_ids", F.array().cast("array<string>")), slug, _kept(place))
 
 
-def read_hydra(raw: DataFrame, now: str, media_base: str, body: str = "body") -> DataFrame:
+def read_hydra(raw: DataFrame, now: str, media_base: str, body: str = "body", place: str | None = None) -> DataFrame:
     """Paged linked-data feed; prices are whole pence, live means published and not closed."""
-    rows = raw.withColumn("r", F.explode(F.from_json(c(body), HYDRA_SCHEMA)["hydra:member"])).drop(body)
+    rows = _each(raw, F.from_json(c(body), HYDRA_SCHEMA)["hydra:member"], "r", place).drop(body)
     title, stub = trim_ws(nz("r.name")), F.col("r.urlStub")
     live = (F.col("r.status") == "published") & (instant("r.closeTs") > at(now))
     rows = rows.where(live & (title != "") & (nz(stub) != ""))
@@ -179,7 +190,7 @@ def read_hydra(raw: DataFrame, now: str, media_base: str, body: str = "body") ->
         "entry_url": F.concat(_base(), F.lit("/competitions/"), stub),
     }
     labels = F.when(nz(label) != "", F.array(label)).otherwise(F.array().cast("array<string>"))
-    return _listings(rows, fields, labels, stub)
+    return _listings(rows, fields, labels, stub, _kept(place))
 
 
 def data_page(html: str | Column) -> Column:
@@ -196,7 +207,7 @@ def array_of(json: Column, schema: str) -> Column:
     return F.coalesce(F.from_json(inner, f"array<{schema}>"), F.array().cast(f"array<{schema}>"))
 
 
-def read_inertia(pages: DataFrame, html: str = "body") -> DataFrame:
+def read_inertia(pages: DataFrame, html: str = "body", place: str | None = None) -> DataFrame:
     """Page-state attribute; the main list, then the featured one.  The first of an id (or slug) wins, rows with neither go."""
     staged = pages.withColumn("_state", data_page(html)).drop(html)
     main = array_of(F.get_json_object("_state", "$.props.competitions"), _INERTIA_ROW)
@@ -206,7 +217,7 @@ def read_inertia(pages: DataFrame, html: str = "body") -> DataFrame:
     key = lambda r: F.coalesce(r["id"], r["slug"])
     keys = F.transform(every, key)
     once = F.filter(every, lambda r, i: F.coalesce(F.array_position(keys, key(r)) == i + 1, F.lit(False)))
-    rows = staged.withColumn("r", F.explode(once)).drop("_state")
+    rows = _each(staged, once, "r", place).drop("_state")
     title, slug = trim_ws(nz("r.name")), F.col("r.slug")
     rows = rows.where((F.lower("r.status") == "active") & (title != "") & (nz(slug) != ""))
     sale, full = number_of(F.col("r.sale_price")), number_of(F.col("r.price"))
@@ -222,7 +233,7 @@ def read_inertia(pages: DataFrame, html: str = "body") -> DataFrame:
         "image_url": X.abs_url("r.image_path", F.concat(_base(), F.lit("/"))),
         "entry_url": F.concat(_base(), F.lit("/competitions/"), slug),
     }
-    return _listings(rows, fields, F.filter(names, lambda n: nz(n) != ""), slug)
+    return _listings(rows, fields, F.filter(names, lambda n: nz(n) != ""), slug, _kept(place))
 
 
 def read_zap(raw: DataFrame, now: str, body: str = "body") -> DataFrame:

@@ -446,3 +446,16 @@ def description_checks(spark, folder):
     docs = spread(table(spark, folder, "documents"))
     text = F.when(F.col("doc_id") % 10 == 0, F.concat(F.lit("Up for grabs: "), "source", F.lit("."))).otherwise(F.col("text"))
     return C.description_checks(docs.withColumn("description", text), seq="doc_id").select("doc_id", "copy_of", "verdict")
+
+
+@query("own_selectors", r"""
+WITH t AS (SELECT page_id, html, replace(regexp_extract(html, '<nav><ul><li><a[^>]*>[^<]*</a></li><li><a[^>]*>([^<]*)</a>', 1), '&amp;', '&') AS second, replace(regexp_extract(html, '<article>\s*<h1>([^<]*)</h1>', 1), '&amp;', '&') AS head,
+  regexp_extract(html, '(?s)<footer>(.*?)</footer>', 1) AS foot FROM pages)
+SELECT page_id, nullif(trim(second, chr(32) || chr(9) || chr(10) || chr(13)), '') AS date_text, nullif(trim(head, chr(32) || chr(9) || chr(10) || chr(13)), '') AS cap_text,
+  nullif(trim(replace(replace(replace(foot, '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), chr(32) || chr(9) || chr(10) || chr(13)), '') AS price_text FROM t""")
+def own_selectors(spark, folder):
+    """Texts under an operator's own selectors on every captured page."""
+    own = {"date": "nav li + li > a", "entries": "body > article > h1", "price": "footer"}
+    pages = spread(table(spark, folder, "pages")).withColumn("selectors", F.create_map(*[F.lit(x) for pair in own.items() for x in pair]))
+    pages = pages.withColumn("selectors", F.map_concat("selectors", F.create_map(F.lit("note"), F.lit("unused")))).drop("url")
+    return P.with_regions(pages, selectors="selectors").select("page_id", "date_text", "cap_text", "price_text")
