@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from listflow.functions import text as X
 from listflow.functions.dates import normalize_uk_date
 from listflow.operators import ranking as K
+from listflow.operators.similar import near_copies
 from listflow.plans import content as C
 from listflow.plans import discovery as DS
 from listflow.plans import reports as P
@@ -402,3 +403,16 @@ SELECT o_orderkey, (['question', 'price-anchor', 'deadline', 'absurd-comparison'
 def archetypes(spark, folder):
     """Text style of each day."""
     return table(spark, folder, "orders").select("o_orderkey", C.archetype(F.col("o_orderdate").cast("date")).alias("archetype"))
+
+
+@query("near_dup_descriptions", r"""
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+ s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) END) AS s FROM w),
+ n AS (SELECT doc_id, len(s) AS n FROM s), e AS (SELECT doc_id, unnest(s) AS g FROM s),
+ k AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+ l AS (SELECT a, b FROM k JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+ ends AS (SELECT a AS f, b AS t FROM l UNION ALL SELECT b, a FROM l)
+SELECT n.doc_id, n.n AS n_shingles, min(t) FILTER (t < n.doc_id) AS copy_of, count(t) AS links FROM n LEFT JOIN ends ON f = n.doc_id GROUP BY 1, 2""")
+def near_dup_descriptions(spark, folder):
+    """Which descriptions nearly repeat another one, and the first of those."""
+    return near_copies(table(spark, folder, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
