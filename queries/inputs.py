@@ -53,28 +53,34 @@ FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
 """
 
 # Two reads of every line item's listing, 1 stored and 2 fresh; each moves some fields by other columns.
-_READ = """
-SELECT concat('d', seq) AS id, seq AS part_id, {no} AS obs_no, status, {title} AS title,
-  price + CASE WHEN {price} THEN 0.05 ELSE 0.0 END AS ticket_price,
-  CAST(p_size*200 + CASE WHEN {entries} THEN 37 ELSE 0 END AS BIGINT) AS total_entries,
-  CAST(DATE '2026-08-10' + CAST(l_partkey % 30 - 5 + CASE WHEN {day} THEN 1 ELSE 0 END AS INT) AS STRING) AS draw_day
-FROM (SELECT *, (l_orderkey*10+l_linenumber)*100000000 + CAST(floor(l_extendedprice*100+0.5) AS BIGINT) AS seq, floor(p_retailprice/100*100+0.5)/100 AS price,
+_BASE = """(SELECT *, (l_orderkey*10+l_linenumber)*100000000 + CAST(floor(l_extendedprice*100+0.5) AS BIGINT) AS seq, floor(p_retailprice/100*100+0.5)/100 AS price,
     CASE WHEN l_linestatus='O' THEN 'active' WHEN l_returnflag='R' THEN 'ended' ELSE 'draft' END AS status
-  FROM {lineitem} JOIN {part} ON l_partkey = p_partkey) AS base
-"""
+  FROM {lineitem} JOIN {part} ON l_partkey = p_partkey) AS base"""
+_FIELDS = """{title} AS {s}title, price + CASE WHEN {price} THEN 0.05 ELSE 0.0 END AS {s}{ticket_price},
+  CAST(p_size*200 + CASE WHEN {entries} THEN 37 ELSE 0 END AS BIGINT) AS {s}{total_entries},
+  CAST(DATE '2026-08-10' + CAST(l_partkey % 30 - 5 + CASE WHEN {day} THEN 1 ELSE 0 END AS INT) AS STRING) AS {s}{draw_day}"""
+_STORED = {"title": "concat('Win ', p_name)", "price": "l_tax > 0.06", "entries": "l_discount > 0.08", "day": "l_quantity > 45"}
+_FRESH = {"title": "CASE WHEN l_tax > 0.07 THEN concat('WIN ', p_name, '!') ELSE concat('Win ', p_name) END", "price": "l_discount > 0.06", "entries": "l_tax > 0.07", "day": "l_quantity > 40"}
+
+
+def _read(no: int, fields: dict[str, str]) -> str:
+    own = _FIELDS.format(s="", ticket_price="ticket_price", total_entries="total_entries", draw_day="draw_day", **fields)
+    return f"\nSELECT concat('d', seq) AS id, seq AS part_id, {no} AS obs_no, status, {own}\nFROM {_BASE}\n"
+
+
+OBSERVATIONS = _read(1, _STORED) + "UNION ALL" + _read(2, _FRESH)
+# Both reads beside each other in one scan.
+_SHORT = {"ticket_price": "price", "total_entries": "entries", "draw_day": "day"}
 
 
-def _read(**parts: str) -> str:
-    return _READ.format(lineitem="{lineitem}", part="{part}", **parts)
+def _beside(prefix: str, fields: dict[str, str]) -> str:
+    return _FIELDS.format(s=prefix, **_SHORT, **fields)
 
 
-OBSERVATIONS = (
-    _read(no="1", title="concat('Win ', p_name)", price="l_tax > 0.06", entries="l_discount > 0.08", day="l_quantity > 45")
-    + "UNION ALL"
-    + _read(no="2", title="CASE WHEN l_tax > 0.07 THEN concat('WIN ', p_name, '!') ELSE concat('Win ', p_name) END", price="l_discount > 0.06", entries="l_tax > 0.07", day="l_quantity > 40")
-)
+PAIRED = f"SELECT concat('d', seq) AS id, seq AS part_id, status AS s_status, {_beside('s_', _STORED)}, {_beside('', _FRESH)} FROM {_BASE}"
 
 LISTINGS_CTE = "listings AS (" + for_duck(LISTINGS, "lineitem", "part") + ")"
+PAIRED_CTE = "reads AS (" + for_duck(PAIRED, "lineitem", "part") + ")"
 OBSERVATIONS_CTE = "observations AS (" + for_duck(OBSERVATIONS, "lineitem", "part") + ")"
 
 

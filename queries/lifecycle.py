@@ -10,21 +10,15 @@ from listflow.operators import gates as G
 from listflow.operators import reconcile as R
 from listflow.sources import sinks as S
 
-from .inputs import OBSERVATIONS_CTE, for_duck, observations, table, view
+from .inputs import OBSERVATIONS_CTE, PAIRED_CTE, for_duck, observations, table, view
 from .registry import query
 
 # Stored and fresh read side by side, as the agreement operator wants them.
-PAIRS_CTE = f"""{OBSERVATIONS_CTE},
-s AS (SELECT * FROM observations WHERE obs_no = 1),
-f AS (SELECT * FROM observations WHERE obs_no = 2),
-pairs AS (SELECT s.id, s.part_id, s.status AS s_status, s.title AS s_title, s.ticket_price AS s_price, s.total_entries AS s_entries, s.draw_day AS s_day,
-   f.title, f.ticket_price AS price, f.total_entries AS entries, f.draw_day AS day,
-   floor(s.ticket_price * 100 + 0.5) <> floor(f.ticket_price * 100 + 0.5) AS d_price,
-   s.total_entries <> f.total_entries AS d_entries, s.draw_day <> f.draw_day AS d_day,
-   CASE WHEN s.part_id % 2 = 0 THEN floor(s.ticket_price * s.total_entries * 100 + 0.5) / 100 ELSE 100.0 END AS s_pool,
-   CASE WHEN s.part_id % 11 = 0 THEN '' ELSE concat('https://img.example/', s.part_id, '.webp') END AS image_url,
-   CASE s.part_id % 4 WHEN 0 THEN 'claude' WHEN 1 THEN 'rule' END AS s_source
-  FROM s JOIN f USING (part_id)),
+PAIRS_CTE = f"""{PAIRED_CTE},
+pairs AS (SELECT *, floor(s_price * 100 + 0.5) <> floor(price * 100 + 0.5) AS d_price, s_entries <> entries AS d_entries, s_day <> day AS d_day,
+   CASE WHEN part_id % 2 = 0 THEN floor(s_price * s_entries * 100 + 0.5) / 100 ELSE 100.0 END AS s_pool,
+   CASE WHEN part_id % 11 = 0 THEN '' ELSE concat('https://img.example/', part_id, '.webp') END AS image_url,
+   CASE part_id % 4 WHEN 0 THEN 'claude' WHEN 1 THEN 'rule' END AS s_source FROM reads),
 num AS (SELECT *,
    CASE WHEN s_price = floor(s_price) THEN CAST(CAST(s_price AS BIGINT) AS VARCHAR) ELSE CAST(s_price AS VARCHAR) END AS s_price_text,
    CASE WHEN price = floor(price) THEN CAST(CAST(price AS BIGINT) AS VARCHAR) ELSE CAST(price AS VARCHAR) END AS price_text,
