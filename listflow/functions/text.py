@@ -354,22 +354,44 @@ def host_of(url: str | Column) -> Column:
     return blank_to_null(F.regexp_replace(F.lower(host), r"^www\.", ""))
 
 
+def folded_path(url: Column) -> Column:
+    """An http address without ``.`` and ``..`` steps in its path; others, and those without such steps, as they are."""
+    origin = F.regexp_extract(url, r"^(?i:https?)://[^/?#]+", 0)
+    path = F.regexp_extract(url, r"^(?i:https?)://[^/?#]+([^?#]*)", 1)
+    rest = F.regexp_extract(url, r"(?s)^[^?#]*(.*)$", 1)
+    steps = F.split(path, "/")
+    last = F.element_at(steps, -1)
+    # the first step, before the leading slash, stays
+    up = lambda done: F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1)))
+    fold = F.aggregate(steps, F.array().cast("array<string>"), lambda done, x: F.when(x == "..", up(done)).when(x == ".", done).otherwise(F.concat(done, F.array(x))))
+    ended = F.when(last.isin(".", ".."), F.concat(fold, F.array(F.lit("")))).otherwise(fold)
+    dotted = url.rlike(r"^(?i:https?)://[^/?#]+/(?:[^?#]*/)?\.\.?(?:[/?#]|$)")
+    return F.when(dotted, F.concat(origin, F.array_join(ended, "/"), rest)).otherwise(url)
+
+
 def abs_url(url: str | Column, base: str | Column) -> Column:
-    """Resolve a link against its page: absolute, ``//host``, ``/path``, or relative."""
+    """Resolve a link against its page: absolute, ``//host``, ``/path``, ``?query``, ``#part``, or relative; ``.`` and ``..`` steps are folded."""
     u, b = trim_ws(c(url)), c(base)
     origin = F.regexp_extract(nz(b), r"^(https?://[^/?#]+)", 1)
     folder = F.regexp_extract(nz(b), r"^(https?://[^/?#]+(?:/[^?#]*/|/)?)", 1)
     folder = F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/")))
+    # the page itself, with a path and without, or with, its query
+    page = F.regexp_extract(nz(b), r"^https?://[^/?#]+([^?#]*)", 1)
+    page = F.concat(origin, F.when(page == "", F.lit("/")).otherwise(page))
+    query = F.regexp_extract(nz(b), r"^[^?#]*(\?[^#]*)", 1)
     bare = u.rlike(r"(?i)^https?://[^/?#]+$")
-    return (
+    full = (
         F.when(nz(url) == "", F.lit(None).cast("string"))
         .when(bare, F.concat(u, F.lit("/")))
         .when(u.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), u)
         .when(origin == "", F.lit(None).cast("string"))
         .when(u.startswith("//"), F.concat(F.regexp_extract(b, r"^(https?:)", 1), u))
         .when(u.startswith("/"), F.concat(origin, u))
+        .when(u.startswith("?"), F.concat(page, u))
+        .when(u.startswith("#"), F.concat(page, query, u))
         .otherwise(F.concat(folder, u))
     )
+    return folded_path(full)
 
 
 def _path_under(url: Column, prefix: Column) -> Column:

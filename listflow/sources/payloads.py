@@ -80,3 +80,37 @@ def crosslink_candidates(pages: DataFrame, exclude: DataFrame, html: str = "html
     """Operator-like outside hosts of captured pages that are not configured already."""
     found = pages.select(label, F.explode(X.operator_hosts(html)).alias("domain")).distinct()
     return found.join(exclude, "domain", "left_anti").select("domain", F.concat(F.lit(f"{prefix}:"), c(label)).alias("via"))
+
+
+def crawled_sitemaps(captures: DataFrame, roots: DataFrame) -> DataFrame:
+    """Every sitemap reached from ``roots`` (source, url) through sitemap indexes: (source, url, depth, captured).
+
+    ``captures``: url, xml.  Children are met with their captures round by round until no new one comes; a map that was seen from
+    its source before is not followed again, so indexes that name each other end.  A child that was never captured is kept
+    with ``captured`` false.  A row is written once, in the round that finds it.
+    """
+    from ..operators.ranking import discard, materialised, scratch_path
+
+    spark = captures.sparkSession
+    path = scratch_path(spark, "sitemaps")
+    kids = captures.select(F.col("url").alias("parent"), F.explode(F.array_distinct(F.filter(X.sitemap_locs("xml"), lambda u: u.endswith(".xml")))).alias("url"))
+    kids = materialised(kids, path=f"{path}/kids")
+    known = captures.select("url").distinct().withColumn("captured", F.lit(True))
+    level = materialised(roots.select("source", "url").where("url IS NOT NULL").distinct(), path=f"{path}/level-0")
+    seen, depth = level.withColumn("depth", F.lit(0)), 0
+    while True:
+        reached = level.select("source", F.col("url").alias("parent")).join(kids, "parent").select("source", "url").distinct()
+        level = materialised(reached.join(seen, ["source", "url"], "left_anti"), path=f"{path}/level-{depth + 1}")
+        if level.isEmpty():
+            break
+        depth += 1
+        seen = seen.unionByName(level.withColumn("depth", F.lit(depth)))
+    out = materialised(seen.join(known, "url", "left").select("source", "url", "depth", F.coalesce("captured", F.lit(False)).alias("captured")), "crawled")
+    discard(spark, path)
+    return out
+
+
+def crawled_pages(captures: DataFrame, roots: DataFrame, limit: int | None = None) -> DataFrame:
+    """Listing pages of all sitemaps that the roots reach: (source, page), each page once for a source."""
+    maps = crawled_sitemaps(captures, roots).where("captured").join(captures, "url")
+    return sitemap_pages(maps.select("source", "xml"), limit=limit).select("source", "page").distinct()

@@ -245,3 +245,23 @@ def sitemap_pages(spark, folder):
     maps = pages.groupBy(F.floor(k / 50).alias("map")).agg(F.sort_array(F.collect_list(F.struct(k, loc.alias("loc")))).alias("l"))
     maps = maps.select("map", F.concat(F.lit("<urlset><loc>https://x.example/child.xml</loc>"), F.array_join(F.transform("l", lambda x: x["loc"]), ""), F.lit("</urlset>")).alias("xml"))
     return P.sitemap_pages(maps).select("map", "page")
+
+
+@query("crawled_pages", """
+WITH m AS (SELECT *, concat('https://s-', s_suppkey, '.example/') AS b FROM supplier)
+SELECT concat('s-', s_suppkey) AS source, concat(b, 'operators/', x, '-', s_suppkey) AS page FROM m, unnest(['a', 'b', 'c', 'd']) AS t(x) WHERE x <> 'd' OR s_suppkey % 3 > 0""")
+def crawled_pages(spark, folder):
+    """Pages of nested sitemap indexes, some of which name each other or were never captured."""
+    k = F.col("s_suppkey")
+    own = table(spark, folder, "supplier").select(k, F.concat(F.lit("https://s-"), k, F.lit(".example/")).alias("b"))
+    loc = lambda *parts: F.concat(F.lit("<url><loc> "), "b", *[F.lit(p) if isinstance(p, str) else p for p in parts], F.lit("</loc></url>"))
+    page = lambda x: loc(f"operators/{x}-", k.cast("string"))
+    maps = {
+        "sitemap.xml": F.concat(loc("a.xml"), loc("b.xml"), loc("about")),
+        "a.xml": F.concat(loc("c.xml"), loc("sitemap.xml"), page("a")),
+        "b.xml": F.when(k % 3 > 0, F.concat(page("d"), page("b"))),
+        "c.xml": F.concat(loc("a.xml"), page("c"), page("b")),
+    }
+    rows = own.select(F.inline(F.array(*[F.struct(F.concat("b", F.lit(name)).alias("url"), xml.alias("xml")) for name, xml in maps.items()]))).where("xml IS NOT NULL")
+    roots = own.select(F.concat(F.lit("s-"), k).alias("source"), F.concat("b", F.lit("sitemap.xml")).alias("url"))
+    return P.crawled_pages(rows, roots)
