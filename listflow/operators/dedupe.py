@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.base import nz
-from .ranking import ensure_checkpoint_dir, first_per_key, first_per_key_counted, numbered, ranked, running, top_n
+from .ranking import discard, ensure_checkpoint_dir, first_per_key, first_per_key_counted, materialised, ranked, row_hash, running, scratch_path, top_n
 
 
 def listing_key() -> Column:
@@ -148,9 +148,33 @@ def sample_per_group(df: DataFrame, group: str, n: int, order: list[Column]) ->
     return top_n(df, [group], order, n, "_rank").drop("_rank")
 
 
-def systematic_sample(df: DataFrame, order: list[Column], size: int = 12) -> DataFrame:
-    """Every k-th row of the ordered frame, about ``size`` of them."""
-    placed = numbered(df, order, "_position")
-    total = placed.count()
+def systematic_sample(df: DataFrame, order: list[str], size: int = 12) -> DataFrame:
+    """Every k-th row by the ``order`` columns, about ``size`` of them.
+
+    Only the order columns are dealt into ranges and written; the ranges' counts tell which of them hold a wanted place, and
+    only those are put in order.  The rows are then met in the table by a join with ``size`` rows.  Of rows that are equal
+    in all order columns, the ones with the least row hash stand first.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "ranges")
+    dealt = materialised(df.select(*order).repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), path=path)
+    # a row for each range
+    sizes = [(r["_part"], r["n"]) for r in dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).orderBy("_part").collect()]
+    total = sum(n for _, n in sizes)
     step = max(1, total // size)
-    return placed.where(((F.col("_position") - 1) % step == 0) & (F.col("_position") <= step * size)).drop("_position")
+    wanted, before = [], 0
+    for part, n in sizes:
+        wanted += [(part, p - before + 1) for p in range(-(-before // step) * step, min(before + n, step * size), step)]
+        before += n
+    at = spark.createDataFrame(wanted, "_part int, _at int")
+    inside = dealt.where(F.col("_part").isin([p for p, _ in wanted])).withColumn("_at", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    # at most ``size`` rows
+    picked = inside.join(at, ["_part", "_at"]).groupBy(*[F.col(n).alias(f"_k_{n}") for n in order]).agg(F.count(F.lit(1)).alias("_times"))
+    picked = spark.createDataFrame(picked.collect(), picked.schema)
+    same = F.lit(True)
+    for n in order:
+        same = same & df[n].eqNullSafe(picked[f"_k_{n}"])
+    met = df.withColumn("_hash", row_hash(df)).join(F.broadcast(picked), same)
+    discard(spark, path)
+    met = met.withColumn("_copy", F.row_number().over(Window.partitionBy(*order).orderBy("_hash")))
+    return met.where(F.col("_copy") <= F.col("_times")).select(*df.columns)

@@ -268,6 +268,22 @@ def hold_summary(verdicts: DataFrame) -> DataFrame:
     return held.select(F.trim(kind).alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "reason")
 
 
+def verdict_totals(verdicts: DataFrame) -> DataFrame:
+    """Published and held rows for every kind of reason and, under a NULL reason, in all: (reason, published, held), one aggregate."""
+    kind = F.regexp_replace(F.regexp_replace("r", r"\s+[\d.]+\s*→.*$", ""), r"\s*\(.*\)$", "")
+    # a row without reasons counts in the total alone
+    rows = verdicts.select("publish", F.posexplode_outer("reasons").alias("at", "r")).select("publish", F.coalesce("at", F.lit(0)).alias("at"), F.trim(kind).alias("reason"))
+    whole = F.grouping("reason") == 1
+    count = lambda hit: F.sum(F.when(hit, F.col("n")).otherwise(0))
+    # rows of one reason, first mention of a row or not, are counted before the grouping sets double them
+    rows = rows.groupBy("publish", "reason", (F.col("at") == 0).cast("int").alias("first")).agg(F.count(F.lit(1)).alias("n"))
+    sets = rows.groupingSets([["reason"], []], "reason")
+    every, first = (lambda hit: count(hit)), (lambda hit: count(hit & (F.col("first") == 1)))
+    pick = lambda hit: F.when(whole, first(hit)).otherwise(every(hit))
+    out = sets.agg(whole.alias("whole"), pick(F.col("publish")).alias("published"), pick(~F.col("publish")).alias("held"))
+    return out.where(F.col("whole") | F.col("reason").isNotNull()).select("reason", "published", "held")
+
+
 # ---- ended listings ------------------------------------------------------
 
 

@@ -86,6 +86,15 @@ def hold_reason_summary(spark, folder):
     return R.hold_summary(_compared(spark, folder))
 
 
+@query("verdict_totals", f"""
+WITH {PAIRS_CTE}, r AS (SELECT len(reasons) = 0 AS publish, unnest(reasons) AS r FROM verdicts)
+SELECT trim(regexp_replace(regexp_replace(r, '\\s+[\\d.]+\\s*→.*$', ''), '\\s*\\(.*\\)$', '')) AS reason, count(*) FILTER (publish) AS published, count(*) FILTER (NOT publish) AS held FROM r GROUP BY 1
+UNION ALL SELECT NULL, count(*) FILTER (len(reasons) = 0), count(*) FILTER (len(reasons) > 0) FROM verdicts""")
+def verdict_totals(spark, folder):
+    """Published and held reads, in all and by kind of reason."""
+    return R.verdict_totals(_compared(spark, folder))
+
+
 CORRECTION_CTE = f"""{PAIRS_CTE},
 moved AS (SELECT *, list_concat(drift, CASE WHEN abs(s_pool - floor(price * entries * 100 + 0.5) / 100) > 0.02 THEN ['total_prize_value'] ELSE [] END) AS moved FROM verdicts),
 corrected AS (SELECT *, len(moved) > 0 AND len(flags) = 0 AS correct,

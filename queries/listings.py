@@ -172,7 +172,7 @@ SELECT l_partkey, l_suppkey, l_orderkey FROM p, n WHERE (rn - 1) % k = 0 AND rn
 def systematic_sample(spark, folder):
     """About twelve evenly spaced rows of the ordered table."""
     rows = table(spark, folder, "lineitem").select("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
-    order = [F.col(n) for n in ("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")]
+    order = ["l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"]
     return D.systematic_sample(rows, order).select("l_partkey", "l_suppkey", "l_orderkey")
 
 
