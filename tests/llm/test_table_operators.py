@@ -357,3 +357,17 @@ def test_registered_queries_against_sql(spark):
     for name in ("op2_quality", "op6_mixing", "op7_licences"):
         assert queries.QUERIES[name](spark, folder).count() == spark.read.parquet(f"{folder}/documents.parquet").count()
     assert queries.op10_warc(spark, folder).count() == spark.read.parquet(f"{folder}/pages.parquet").count()
+
+
+def test_texts_under_one_id_and_rows_without_id_are_documents(spark):
+    words = lambda seed, n=60: " ".join(f"w{i}" for i in np.random.default_rng(seed).integers(0, 10**6, n))
+    a, b, c, d = (words(k) for k in range(4))
+    rows = [(1, a), (1, a), (1, b), (1, b), (2, c), (3, c + " end"), (None, d), (None, d), (None, a), (4, None), (4, ""), (5, b + " end"), (None, None)]
+    docs = spark.createDataFrame([(i, t, "s", k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, source string, kept int")
+    got = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.distinct(spark, docs, "").collect()), key=str)
+    want = {(2, c), (None, d), (None, None), (4, None), (4, "")}
+    assert want <= set(got) and len(got) == len(want) + 2
+    # a and its copy without an id stay once, under the id; b stays once, under one of its ids
+    assert [t for i, t in got if t == a] == [a] and (1, a) in got and len([t for _, t in got if t in (b, b + " end")]) == 1
+    plain = docs.where("doc_id in (2, 3)")
+    assert [(r["doc_id"], r["text"]) for r in corpus_pipeline.distinct(spark, plain, "").collect()] == [(2, c)]
