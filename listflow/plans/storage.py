@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..functions.base import at, c, days, instant, nz
+from ..functions.base import at, c, days, instant, nz, with_once
 
 MIN_REF_RATIO = 0.5
 MIN_AGE_DAYS = 7
@@ -99,3 +99,30 @@ def resolve_images(rows: DataFrame, adapters: DataFrame, pages: DataFrame, produ
     found = [F.col(f"_i{i}") for i in range(4)]
     source = F.coalesce(*[F.when(f.isNotNull(), F.lit(n)) for f, n in zip(found, names)])
     return keyed.select(*rows.columns, F.coalesce(*found).alias("found_image"), source.alias("source"))
+
+
+def image_repair_plan(draws: DataFrame, dead_ref: str, statuses: list[str], adapters: DataFrame, pages: DataFrame, products: DataFrame, archive: DataFrame) -> DataFrame:
+    """A new image for every row whose image points at a dead store: (id, source, found_image), both NULL where none is known.
+
+    Feed index, own page, product record, archived page, in this order; sides as in ``resolve_images``, but their keys may
+    repeat.  All sides are one tagged union, met in one join and decided by one ``min_by``, so a source more is no join more.
+    """
+    web = lambda u: F.when(u.rlike(r"(?i)^https?:"), u)
+    tagged = None
+    for place, (source, side, kind, key, image) in enumerate(
+        [
+            ("adapter", adapters, "url", image_key("entry_url"), F.col("image_url")),
+            ("page", pages, "url", image_key("entry_url"), X.image_from_html("html", "entry_url")),
+            ("product", products, "slug", F.col("product_key"), web(F.col("image_url"))),
+            ("archive", archive, "url", image_key("entry_url"), X.image_from_html("html", "entry_url")),
+        ]
+    ):
+        part = with_once(side.select(key.alias("key"), *side.columns), {"image": image})
+        part = part.select(F.lit(kind).alias("kind"), "key", F.lit(place).alias("place"), F.lit(source).alias("source"), "image")
+        tagged = part if tagged is None else tagged.unionByName(part)
+    broken = broken_images(draws, dead_ref, statuses)
+    slug = F.concat_ws("/", X.origin_of("entry_url"), X.product_slug("entry_url"))
+    asked = broken.select("id", F.explode(F.map_from_arrays(F.array(F.lit("url"), F.lit("slug")), F.array(image_key("entry_url"), slug))).alias("kind", "key"))
+    hits = asked.join(tagged.where(nz("image") != ""), ["kind", "key"])
+    best = hits.groupBy("id").agg(F.min(F.struct("place", "image", "source")).alias("best"))
+    return broken.select("id").join(best, "id", "left").select("id", F.col("best.source").alias("source"), F.col("best.image").alias("found_image"))

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["listings", "lifecycle", "feeds", "pages", "catalogue", "jobs", "captures"]
+MODULES = ["listings", "lifecycle", "feeds", "pages", "catalogue", "jobs", "captures", "job_runs"]
 
 
 def load():

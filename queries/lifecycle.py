@@ -347,13 +347,18 @@ SELECT k, CASE WHEN method = 'woo' AND listed THEN dead WHEN method = 'shopify'
     WHEN k % 3 = 0 THEN 'page unavailable' WHEN dead THEN 'page says finished' ELSE 'no finished marker' END AS why FROM d""")
 def ended_decisions(spark, folder):
     """Three-valued "has it ended", from feeds and pages; absence proves nothing."""
+    return R.ended_decision(*ended_frames(spark, folder)).select("k", "ended", "why")
+
+
+def ended_frames(spark, folder):
+    """Stored rows, operators, feed and pages of an ended sweep."""
     k, size = F.col("p_partkey"), F.col("p_size")
     part = table(spark, folder, "part")
     op = F.concat(F.lit("op-"), k % 4)
     slug = F.when(k % 9 == 0, F.concat(F.lit("%f0%9f-p"), k)).otherwise(F.concat(F.lit("p"), k))
     url = F.concat(F.lit("https://"), op, F.lit(".example/product/"), slug)
     dead = size % 2 == 0
-    stored = part.select(k.alias("k"), op.alias("op_slug"), F.concat(url, F.lit("/")).alias("entry_url"))
+    stored = part.select(k.alias("k"), op.alias("op_slug"), F.concat(url, F.lit("/")).alias("entry_url"), F.when(k % 5 == 0, "active").otherwise("draft").alias("status"))
     feed = part.where("p_size % 5 > 0 AND p_partkey % 4 < 2").select(
         op.alias("op_slug"), slug.alias("slug"), url.alias("permalink"),
         F.when(dead, F.lit("0")).alias("is_purchasable"), (~dead).alias("available"), F.lit("3 in stock").alias("stock_text"),
@@ -361,7 +366,7 @@ def ended_decisions(spark, folder):
     text = F.when(dead, F.lit("<p>This competition has now finished</p>")).otherwise(F.lit("<p>Enter now</p>"))
     pages = part.where("p_partkey % 4 = 2 AND p_partkey % 3 > 0").select(F.concat(url, F.lit("/")).alias("entry_url"), X.is_finished(text).alias("finished"))
     operators = spark.createDataFrame([("op-0", "woo"), ("op-1", "shopify"), ("op-2", "render")], "slug string, method string")
-    return R.ended_decision(stored, operators, feed, pages).select("k", "ended", "why")
+    return stored, operators, feed, pages
 
 
 @query("prize_rederive", """
