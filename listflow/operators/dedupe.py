@@ -40,9 +40,10 @@ def dedupe(df: DataFrame, op: str = "op_slug", seq: list[Column] | None = None,
 
 
 def split_known(df: DataFrame, known: DataFrame, url: str = "entry_url") -> DataFrame:
-    """Add ``known``: the canonical URL is already stored (one shuffle on the key)."""
+    """Add ``known``: the canonical URL is already stored (one shuffle on the key).  Rows without a URL are unknown, each under a key of its own."""
     keys = known.select(X.permalink_key(url).alias("_key")).where(F.col("_key") != "").distinct().withColumn("_hit", F.lit(True))
-    keyed = df.withColumn("_key", X.permalink_key(url))
+    own = F.concat(F.lit("\u0001"), row_hash(df).cast("string"))
+    keyed = df.withColumn("_key", F.coalesce(F.nullif(X.permalink_key(url), F.lit("")), own))
     return keyed.join(keys, "_key", "left").withColumn("known", F.coalesce("_hit", F.lit(False))).drop("_key", "_hit")
 
 

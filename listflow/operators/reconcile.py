@@ -294,7 +294,9 @@ def ended_decision(stored: DataFrame, operators: DataFrame, feed: DataFrame, pag
     available, stock_text.  ``pages``: entry_url, finished.  Feed rows must be unique by
     (op_slug, slug) and (op_slug, permalink).
     """
-    rows = stored.withColumn("_slug", X.product_slug("entry_url")).withColumn("_permalink", X.permalink_key("entry_url"))
+    # a row without an address has a key of its own, which matches nothing
+    own = F.concat(F.lit("\u0001"), row_hash(stored).cast("string"))
+    rows = stored.withColumn("_slug", X.product_slug("entry_url")).withColumn("_permalink", F.coalesce(F.nullif(X.permalink_key("entry_url"), F.lit("")), own))
     # percent-literal slugs cannot be looked up by slug, only by permalink
     rows = rows.withColumn("_by_slug", F.when(X.is_percent_literal_slug("_slug"), F.concat(F.lit("\u0001"), "_permalink")).otherwise(F.lower("_slug")))
     rows = rows.join(operators.select(F.col("slug").alias("op_slug"), "method"), "op_slug", "left")

@@ -112,9 +112,7 @@ def onboard(listings: DataFrame, now: str) -> DataFrame:
 
 def storage_plan(objects: DataFrame, tables: dict[str, DataFrame], prefix: str, now: str) -> dict[str, DataFrame]:
     """Orphans and byte totals; refuses when the reference scan looks thin."""
-    referenced = storage.referenced_paths(tables, prefix)
-    storage.check_reference_ratio(referenced, objects)
-    plan = storage.orphan_plan(objects, referenced, now)
+    plan = storage.guarded_plan(objects, tables, prefix, now)
     return {"plan": plan, "totals": storage.plan_totals(plan)}
 
 

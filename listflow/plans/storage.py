@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.base import at, c, days, instant, nz, with_once
+from ..operators.ranking import discard, materialised, scratch_path
 
 MIN_REF_RATIO = 0.5
 MIN_AGE_DAYS = 7
@@ -19,8 +20,8 @@ class ThinReferenceScan(RuntimeError):
     """The reference scan found too little to be trusted; nothing may be deleted."""
 
 
-def referenced_paths(tables: dict[str, DataFrame], prefix: str) -> DataFrame:
-    """Distinct bucket paths in any string column of any row.  Any read failure aborts."""
+def _references(tables: dict[str, DataFrame], prefix: str) -> DataFrame:
+    """Bucket paths in any string column of any row, as often as they stand there."""
     parts = []
     for table in tables.values():
         texts = [f.name for f in table.schema if f.dataType.typeName() == "string"]
@@ -29,7 +30,12 @@ def referenced_paths(tables: dict[str, DataFrame], prefix: str) -> DataFrame:
             parts.append(table.select(F.inline(F.array(*paths))))
     if not parts:
         raise ThinReferenceScan("no table has a text column")
-    found = reduce(DataFrame.unionByName, parts).where("path IS NOT NULL")
+    return reduce(DataFrame.unionByName, parts).where("path IS NOT NULL")
+
+
+def referenced_paths(tables: dict[str, DataFrame], prefix: str) -> DataFrame:
+    """Distinct bucket paths in any string column of any row.  Any read failure aborts."""
+    found = _references(tables, prefix)
     # ends at the first path; without any, all objects would look unused
     if found.isEmpty():
         raise ThinReferenceScan("no table points into the bucket")
@@ -45,14 +51,32 @@ def check_reference_ratio(referenced: DataFrame, objects: DataFrame, floor: floa
     return ratio
 
 
+def _plan(now: str, min_age_days: float) -> Column:
+    created = F.coalesce(instant("created_at"), instant("updated_at"))
+    young = F.coalesce(created > at(now) - days(min_age_days), F.lit(False))
+    return F.when(F.col("_used"), F.lit("keep")).when(young, F.lit("young")).otherwise(F.lit("orphan"))
+
+
 def orphan_plan(objects: DataFrame, referenced: DataFrame, now: str, min_age_days: float = MIN_AGE_DAYS) -> DataFrame:
     """Objects as ``keep``, ``orphan`` or ``young``; unreferenced is not the same as old."""
     used = referenced.select("path").distinct().withColumn("_used", F.lit(True))
-    joined = objects.join(used, "path", "left")
-    created = F.coalesce(instant("created_at"), instant("updated_at"))
-    young = F.coalesce(created > at(now) - days(min_age_days), F.lit(False))
-    plan = F.when(F.col("_used"), F.lit("keep")).when(young, F.lit("young")).otherwise(F.lit("orphan"))
-    return joined.withColumn("plan", plan).drop("_used")
+    return objects.join(used, "path", "left").withColumn("plan", _plan(now, min_age_days)).drop("_used")
+
+
+def guarded_plan(objects: DataFrame, tables: dict[str, DataFrame], prefix: str, now: str, floor: float = MIN_REF_RATIO, min_age_days: float = MIN_AGE_DAYS) -> DataFrame:
+    """``orphan_plan`` over all references in the tables, each of which is read once; raises where the references look thin.
+
+    Objects and referenced paths meet in one full join, which is written; both counts of the guard are read from that.
+    """
+    used = _references(tables, prefix).distinct().withColumn("_used", F.lit(True))
+    path = scratch_path(objects.sparkSession, "orphan-plan")
+    met = objects.withColumn("_object", F.lit(True)).join(used, "path", "full_outer")
+    met = materialised(met.withColumn("plan", _plan(now, min_age_days)), path=path)
+    n = met.agg(F.count("_used").alias("used"), F.count("_object").alias("objects")).first()
+    if not n["used"] or n["objects"] and n["used"] / n["objects"] < floor:
+        discard(objects.sparkSession, path)
+        raise ThinReferenceScan(f"only {n['used']} paths are referenced, of {n['objects']} objects (floor {floor:.0%})")
+    return met.where("_object").drop("_used", "_object")
 
 
 def plan_totals(plan: DataFrame) -> DataFrame:

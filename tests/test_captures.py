@@ -84,3 +84,16 @@ def test_own_selectors_come_first(spark):
     got = {r["n"]: r for r in P.with_regions(pages, selectors="selectors").collect()}
     assert (got[1]["cap_text"], got[1]["date_text"], got[1]["price_text"]) == ("Max 2,500 tickets", "5th August 2026 at 9pm", "Just £3.50 each")
     assert all((got[k]["cap_text"], got[k]["date_text"], got[k]["price_text"]) == ("100 tickets", "1st August 2026", None) for k in (2, 3))
+
+
+def test_guard_and_plan_read_the_tables_once(spark):
+    from listflow.plans import storage as ST
+
+    prefix = "https://store.example/public/"
+    objects = spark.createDataFrame([(f"a{k}.png", "2026-01-01T00:00:00Z" if k % 2 else "2026-07-31T00:00:00Z") for k in range(6)], "path string, created_at string").withColumn("updated_at", F.lit(None).cast("string"))
+    table = spark.createDataFrame([(f"{prefix}a{k}.png", k) for k in (0, 1, 2, 9)], "image string, n int")
+    got = {r["path"]: r["plan"] for r in ST.guarded_plan(objects, {"t": table}, prefix, "2026-08-01 00:00:00").collect()}
+    assert got == {"a0.png": "keep", "a1.png": "keep", "a2.png": "keep", "a3.png": "orphan", "a4.png": "young", "a5.png": "orphan"}
+    for few in (table.where("n = 0"), table.limit(0)):
+        with pytest.raises(ST.ThinReferenceScan):
+            ST.guarded_plan(objects, {"t": few}, prefix, "2026-08-01 00:00:00")
