@@ -34,6 +34,8 @@ class ReconcileConfig:
     match_key: str = "exact"  # or "permalink"
     # write the compared rows once: the two caps and the result all read them
     materialise: bool = True
+    # a folder for them that the caller deletes when the actions are read; else they stay in the shared folder
+    scratch: str | None = None
     judged_sources: tuple = tuple(rules.JUDGED_SOURCES)
 
 
@@ -204,7 +206,7 @@ def reconcile(fresh: DataFrame, stored: DataFrame, cfg: ReconcileConfig, evidenc
     df = df.withColumn("_publishable", found & (status == "draft") & F.col("publish") & image_ok & F.lit(cfg.auto_publish))
     df = df.withColumn("_correctable", found & (status == "active") & F.col("correct") & F.lit(cfg.correct_live))
     if cfg.materialise:
-        df = materialised(df, "reconcile")
+        df = materialised(df, "reconcile", f"{cfg.scratch}/compared" if cfg.scratch else None)
     df = within_cap(df, F.col("_publishable"), seq, cfg.publish_cap, "_publishes")
     df = within_cap(df, F.col("_correctable"), seq, cfg.correct_cap, "_corrects")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -137,7 +138,8 @@ def run_and_commit(spark: SparkSession, path: str, run_id: str, captures: dict[s
     once = lambda df, name: materialised(df, path=f"{scratch}/{name}")
     try:
         listings = once(listings_from_captures(captures["feeds"], captures["pages"], captures["zaps"], operators, now, media_base, once), "listings")
-        out = sweep_listings(listings, stored, store_operators, categories, now, cfg)
+        own = replace(cfg or ReconcileConfig(now=now), scratch=scratch)
+        out = sweep_listings(listings, stored, store_operators, categories, now, own)
         new = once(out["new"], "new")
         patched = once(out["patched"], "patched")
         tables = {"draws": patched.unionByName(new, allowMissingColumns=True), "log": change_log(stored, patched, PATCHED), "skips": out["skips"], "new": new}
