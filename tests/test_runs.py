@@ -1,5 +1,6 @@
 """Rules that hold over a whole run or a whole store: caps, replays, late reads, stored repeats, unique slugs."""
 
+import os
 from dataclasses import replace
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from listflow.operators import dedupe as D
 from listflow.operators import reconcile as R
+from listflow.operators.ranking import ensure_checkpoint_dir
 from listflow.streaming import observe as O
 
 CFG = R.ReconcileConfig(now="2026-08-19 10:00:00", publish_cap=3)
@@ -73,3 +75,16 @@ def test_slugs_differ_across_bases(spark):
     got = [r["slug"] for r in D.assign_slugs(df, taken).orderBy("seq").collect()]
     assert len(set(got)) == len(rows) and not set(got) & {"win-x-op", cut} and max(map(len, got)) <= 120
     assert got[:2] == ["win-x-op-2", "win-x-op-3"] and got[2] == "win-x-op-2-2"
+
+
+def test_the_stream_leaves_two_versions_and_no_scratch(spark, tmp_path):
+    shared = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(shared))
+    for run in range(1, 5):
+        reads(spark, run, range(6)).withColumn("captured_at", F.lit(f"2026-08-1{run} 06:00:00").cast("timestamp")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    # a file a batch, and after them a batch without rows
+    O.observe_stream(O.read_captures(spark, f"{tmp_path}/in", 1), f"{tmp_path}/store", f"{tmp_path}/state", CFG).awaitTermination()
+    assert len([v for v in os.listdir(tmp_path / "store") if v.startswith("v=")]) == 2
+    assert O.latest_store(spark, f"{tmp_path}/store", 50).count() == 6
+    left = {n for n in set(os.listdir(shared)) - before if n.startswith(("observe-", "reconcile-"))}
+    assert not left
