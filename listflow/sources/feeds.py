@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..functions.base import at, blank_to_null, c, digits_of, instant, number_of, nz, round2, trim_ws
+from ..functions.base import at, blank_to_null, c, digits_of, instant, let, number_of, nz, round2, trim_ws, with_once
 from ..functions.classify import with_category
 from ..functions.dates import normalize_uk_date
 
@@ -210,14 +210,17 @@ def array_of(json: Column, schema: str) -> Column:
 def read_inertia(pages: DataFrame, html: str = "body", place: str | None = None) -> DataFrame:
     """Page-state attribute; the main list, then the featured one.  The first of an id (or slug) wins, rows with neither go."""
     staged = pages.withColumn("_state", data_page(html)).drop(html)
-    main = array_of(F.get_json_object("_state", "$.props.competitions"), _INERTIA_ROW)
-    featured = array_of(F.get_json_object("_state", "$.props.featuredCompetitions"), _INERTIA_ROW)
+    lists = {"_main": F.get_json_object("_state", "$.props.competitions"), "_featured": F.get_json_object("_state", "$.props.featuredCompetitions")}
+    staged = with_once(staged, lists).drop("_state")
+    main, featured = (array_of(F.col(n), _INERTIA_ROW) for n in ("_main", "_featured"))
     # both lists are one page's own, so the repeat check stays inside the row
-    every = F.concat(main, featured)
     key = lambda r: F.coalesce(r["id"], r["slug"])
-    keys = F.transform(every, key)
-    once = F.filter(every, lambda r, i: F.coalesce(F.array_position(keys, key(r)) == i + 1, F.lit(False)))
-    rows = _each(staged, once, "r", place).drop("_state")
+    # they are read once, and repeats found beside each other in key order, not by a search per item
+    by_key = lambda rows: F.array_sort(F.filter(F.transform(rows, lambda r, i: F.struct(key(r).alias("k"), i.alias("at"), r.alias("r"))), lambda x: x["k"].isNotNull()))
+    firsts = lambda xs: F.filter(xs, lambda x, i: (i == 0) | (F.get(xs, i - 1)["k"] != x["k"]))
+    in_place = lambda xs: F.array_sort(F.transform(xs, lambda x: F.struct(x["at"].alias("at"), x["r"].alias("r"))))
+    once = F.transform(in_place(let(by_key(F.concat(main, featured)), firsts)), lambda x: x["r"])
+    rows = _each(staged, once, "r", place).drop(*lists)
     title, slug = trim_ws(nz("r.name")), F.col("r.slug")
     rows = rows.where((F.lower("r.status") == "active") & (title != "") & (nz(slug) != ""))
     sale, full = number_of(F.col("r.sale_price")), number_of(F.col("r.price"))

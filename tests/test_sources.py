@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 
@@ -47,6 +48,17 @@ def test_inertia_shapes(spark):
     assert sorted((r["entry_url"], r["ticket_price"], r["category"], r["draw_date"]) for r in rows) == [(f"https://op.test/competitions/{s}", 2.0, "tech-giveaways", "2026-09-01T20:00:00+01:00") for s in "ab"]
 
 
+def test_inertia_reads_a_page_of_many_items_once(spark):
+    item = lambda i: {"id": i if i % 3 else None, "slug": f"s{i}", "name": f"TV {i}", "price": "2", "status": "active"}
+    items = [item(i) for i in range(600)]
+    state = json.dumps({"props": {"competitions": items + [{"name": "neither"}, None], "featuredCompetitions": items[::-1]}}).replace('"', "&quot;")
+    began = time.monotonic()
+    rows = S.read_inertia(raw(spark, f'<div data-page="{state}"></div>'), place="at").orderBy("at").collect()
+    assert [r["title"] for r in rows] == [f"TV {i}" for i in range(600)]
+    # a list that is read again for every item takes minutes
+    assert time.monotonic() - began < 20
+
+
 def test_unknown_styles_and_kinds(spark):
     with pytest.raises(ValueError):
         S.read_api(raw(spark, []), "gopher")
