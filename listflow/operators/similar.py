@@ -30,10 +30,11 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     share at most: rows meet on a rare value and a class of sizes, so that a value that many sets have splits by size.
     """
     values = sets.select("rep", "n", F.explode("s").alias("g"))
-    often = values.groupBy("g").agg(F.count(F.lit(1)).alias("c"))
+    # values of one set only are its rarest and meet nothing: they are counted, never sorted or shuffled by set
+    often = values.groupBy("g").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     ranked = values.join(often, "g").groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("c", "g"))).alias("by_rarity"))
-    keep = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
-    prefix = ranked.select("rep", "n", F.explode(F.slice("by_rarity", 1, keep)).alias("v")).where("v.c > 1").select("rep", "n", F.col("v.g").alias("g"))
+    keep = F.greatest(F.size("by_rarity") - F.ceil(F.col("n") * percent / 100) + 1, F.lit(0)).cast("int")
+    prefix = ranked.select("rep", "n", F.explode(F.slice("by_rarity", F.lit(1), keep)).alias("v")).select("rep", "n", F.col("v.g").alias("g"))
     level = F.floor(F.log(F.col("n").cast("double")) / log(100 / percent) + 1e-9).cast("int") if percent < 100 else F.col("n").cast("int")
     low = prefix.select(F.col("rep").alias("a"), F.col("n").alias("na"), "g", F.explode(F.array(level, level + 1)).alias("level"))
     high = prefix.select(F.col("rep").alias("b"), F.col("n").alias("nb"), "g", level.alias("level"))

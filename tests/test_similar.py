@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from listflow.operators.similar import near_copies
+from listflow.operators.similar import _links, near_copies
 
 
 def plain(rows, width, percent):
@@ -29,3 +29,11 @@ def test_near_copies_against_all_pairs(spark, width, percent):
     got = {r["id"]: (r["n_shingles"], r["copy_of"], r["links"]) for r in near_copies(df, "key", "body", width, percent).collect()}
     assert got == plain(rows, width, percent)
     assert near_copies(df.limit(0), "key", "body").count() == 0
+
+
+def test_values_of_one_set_are_not_sorted_by_set(spark):
+    sets = spark.createDataFrame([(k, 4, [k * 10, k * 10 + 1, k * 10 + 2, 1]) for k in range(1, 5)], "rep long, n long, s array<long>")
+    plan = _links(sets, 80)._jdf.queryExecution().optimizedPlan().toString()
+    # the counts lose them before they meet the sets
+    assert re.search(r"Filter \(c#\d+L > 1\)", plan)
+    assert _links(sets, 80).count() == 0 and _links(sets, 14).count() == 6
