@@ -42,3 +42,16 @@ def test_values_behind_the_first_date_are_not_read(spark):
     dates = E.page_attribute_date("h", 2026)
     assert [r[0] for r in rows.select(dates).collect()] == ["2026-08-03T20:00:00+01:00", None, None]
     assert "aggregate" in str(dates) or "reduce" in str(dates)
+
+
+def test_alternatives_gathered_by_letter_match_the_same():
+    for table in (rules.CATEGORY_RULES, rules.LABEL_RULES):
+        for pattern in table.values():
+            inner = pattern.removeprefix(r"\b").removesuffix(r"\b")
+            plain, gathered = re.compile(inner), re.compile(f"(?:{B.by_first_letter(inner[1:-1])})")
+            for one in B._alternatives(inner[1:-1]):
+                for text in (re.sub(r"\\b|[()?:\[\]\\|]", "", one), one[:3], one[1:]):
+                    assert bool(plain.fullmatch(text)) == bool(gathered.fullmatch(text))
+    assert B.by_first_letter(r"cars?|c?x|cash|[ab]|van\b") == r"c(?:a(?:rs?|sh))|van\b|c?x|[ab]"
+    # two groups are no single alternation
+    assert B.rx_words("(a|b)x(c|d)") == r"(?<!\w)(a|b)x(c|d)(?!\w)"
