@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions import text as X
-from ..functions.base import at, c, days, instant, matches, nz, rx, thousands
+from ..functions.base import at, by_first_letter, c, days, instant, let, matches, nz, rx, thousands
 from ..operators.ranking import first_per_key, top_n
 
 
@@ -123,17 +123,18 @@ def rank_images(candidates: DataFrame, page: str = "page", limit: int = 6) -> Da
     images lose, zoom links gain, and a file named after the prize wins.
     """
     looks_like_image = matches("url", rules.IMAGE_FILE) | matches("url", rules.IMAGE_HOST)
-    rows = candidates.where((nz("url") != "") & ~matches("url", rules.IMAGE_JUNK) & looks_like_image)
+    rows = candidates.where((nz("url") != "") & ~matches("url", by_first_letter(rules.IMAGE_JUNK)) & looks_like_image)
     rows = rows.withColumn("_up", X.upgrade_image_url("url"))
     stop = F.array(*[F.lit(w) for w in rules.IMAGE_STOP_WORDS])
     words = F.split(F.regexp_replace(F.lower(nz("title")), r"[^a-z0-9 ]+", " "), r"\s+")
     words = F.filter(F.array_except(words, stop), lambda w: F.length(w) >= 3)
     path = F.lower(F.regexp_extract("_up", r"(?i)^https?://[^/?#]+([^?#]*)", 1))
-    path = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+    path = let(path, lambda p: F.coalesce(F.try_url_decode(F.replace(p, F.lit("+"), F.lit("%2B"))), p))
     rows = rows.withColumns({"_words": words, "_path": path, "_key": X.image_base_key("_up")})
     area = F.coalesce("width", F.lit(0)) * F.coalesce("height", F.lit(0))
     share = matches("hint", rules.IMAGE_SHARE_HINT) | matches("url", rules.IMAGE_SHARE_URL)
-    named = F.exists("_words", lambda w: F.contains(F.col("_path"), w))
+    # bound, as a lambda evaluates the path for every word
+    named = let(F.col("_path"), lambda p: F.exists("_words", lambda w: F.contains(p, w)))
     score = (
         F.when(area > 0, area).otherwise(F.lit(450000))
         - F.when(share, 250000).otherwise(0)

@@ -55,3 +55,11 @@ def test_alternatives_gathered_by_letter_match_the_same():
     assert B.by_first_letter(r"cars?|c?x|cash|[ab]|van\b") == r"c(?:a(?:rs?|sh))|van\b|c?x|[ab]"
     # two groups are no single alternation
     assert B.rx_words("(a|b)x(c|d)") == r"(?<!\w)(a|b)x(c|d)(?!\w)"
+
+
+def test_junk_images_are_found_by_gathered_words(spark):
+    rows = [(1, "Win the Car", f"https://x.example/media/{n}.jpg", 10, 10, "img", i) for i, n in enumerate(["logo-a", "car", "sprite", "my-icon", "iconic", "flagged", "a-flag-b"])]
+    frame = spark.createDataFrame(rows, "page int, title string, url string, width int, height int, hint string, seq int")
+    out = C.rank_images(frame)
+    assert [r["url"].rsplit("/", 1)[1] for r in out.orderBy("rank").collect()] == ["car.jpg", "iconic.jpg", "flagged.jpg"]
+    assert "l(?:o(?:go" in out._jdf.queryExecution().analyzed().toString()
