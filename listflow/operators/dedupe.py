@@ -69,10 +69,12 @@ def assign_slugs(df: DataFrame, taken: DataFrame, op: str = "op_slug", seq: str
     retires numbers, and only so many spell one slug, so the rounds end.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    based = df.withColumn("_base", X.make_slug("title", op))
+    # written once: the ranks read the rows three times, and every round the stored slugs
+    based = df.withColumn("_base", X.make_slug("title", op)).checkpoint()
+    taken = taken.select("slug").distinct().checkpoint()
     placed = ranked(based, ["_base"], seq, "_rank", bounds).checkpoint()
     used = _used_numbers(placed, taken).checkpoint()
-    stored = taken.select(F.col("slug").alias("_slug")).distinct()
+    stored = taken.select(F.col("slug").alias("_slug"))
     while True:
         named = _skip_taken(placed, used).withColumn("_slug", X.numbered_slug("_base", F.col("_n"))).checkpoint()
         keys = named.select("_slug", "_base", "_n", F.col(seq).alias("_seq"))

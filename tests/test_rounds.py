@@ -63,3 +63,11 @@ def test_junk_images_are_found_by_gathered_words(spark):
     out = C.rank_images(frame)
     assert [r["url"].rsplit("/", 1)[1] for r in out.orderBy("rank").collect()] == ["car.jpg", "iconic.jpg", "flagged.jpg"]
     assert "l(?:o(?:go" in out._jdf.queryExecution().analyzed().toString()
+
+
+def test_slugs_read_their_rows_once(spark):
+    listings, made = counted(spark, spark.createDataFrame([("Win A", "op", i) for i in range(5)], "title string, op_slug string, seq long"))
+    stored, read = counted(spark, spark.createDataFrame([("win-a-op-2",)], "slug string"))
+    got = [r["slug"] for r in D.assign_slugs(listings, stored).orderBy("seq").collect()]
+    assert got == ["win-a-op", "win-a-op-3", "win-a-op-4", "win-a-op-5", "win-a-op-6"]
+    assert (made.value, read.value) == (5, 1)
