@@ -23,6 +23,12 @@ def _unique(spark, folder, dropped=None):
     return D.dedupe(listings(spark, folder), seq=_order(), dropped=dropped)
 
 
+def _written(rows):
+    """Rows that are read several times, deduplicated once."""
+    K.ensure_checkpoint_dir(rows.sparkSession)
+    return rows.checkpoint()
+
+
 def _gated(spark, folder):
     return G.gate(stamped(_unique(spark, folder)), G.GateConfig(now=NOW))
 
@@ -89,7 +95,7 @@ WITH {DEDUPED_CTE}, known AS (SELECT DISTINCT k FROM unique_listings WHERE total
 SELECT op_slug, k IN (SELECT k FROM known) AS known, count(*) AS n FROM unique_listings GROUP BY ALL""")
 def known_split(spark, folder):
     """Already stored against new listings, by canonical URL."""
-    rows = _unique(spark, folder)
+    rows = _written(_unique(spark, folder))
     out = D.split_known(rows, rows.where("total_entries >= 1800"))
     return out.groupBy("op_slug", "known").agg(F.count(F.lit(1)).alias("n"))
 
@@ -118,7 +124,7 @@ WITH {DEDUPED_CTE}, based AS (SELECT *, {SLUG_BASE} AS base FROM unique_listings
 SELECT seq, base || CASE WHEN n = 1 THEN '' ELSE '-' || n END AS slug FROM ranked JOIN free USING (base, r)""")
 def slug_assignment(spark, folder):
     """Unique slugs; numbers that stored slugs use are skipped."""
-    rows = _unique(spark, folder)
+    rows = _written(_unique(spark, folder))
     base = X.make_slug("title", "op_slug")
     taken = rows.where("seq % 3 = 0").select(F.explode(F.array(base, F.concat(base, F.lit("-2")), F.concat(base, F.lit("-5")))).alias("slug")).distinct()
     return D.assign_slugs(rows, taken).select("seq", "slug")

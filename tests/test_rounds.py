@@ -71,3 +71,13 @@ def test_slugs_read_their_rows_once(spark):
     got = [r["slug"] for r in D.assign_slugs(listings, stored).orderBy("seq").collect()]
     assert got == ["win-a-op", "win-a-op-3", "win-a-op-4", "win-a-op-5", "win-a-op-6"]
     assert (made.value, read.value) == (5, 1)
+
+
+def test_rows_that_are_read_twice_are_made_once(spark):
+    from queries.listings import _written
+
+    frame, made = counted(spark, spark.createDataFrame([("https://a.example/x", 1), ("https://a.example/y", 2), (None, 3)], "entry_url string, n long"))
+    rows = _written(frame)
+    out = D.split_known(rows, rows.where("n = 2"))
+    assert {r["n"]: r["known"] for r in out.collect()} == {1: False, 2: True, 3: False}
+    assert made.value == 3
