@@ -90,10 +90,13 @@ def should_skip(min_bytes: int = MIN_REENCODE_BYTES) -> Column:
     return F.col("id").isNull() | F.col("size").isNull() | (F.lower(nz("mimetype")) == "image/webp") | small
 
 
+def _broken(draws: DataFrame, dead_ref: str, statuses: list[str]) -> DataFrame:
+    return draws.where(F.contains(nz("image_url"), F.lit(dead_ref)) & c("status").isin(*statuses) & c("entry_url").isNotNull())
+
+
 def broken_images(draws: DataFrame, dead_ref: str, statuses: list[str], limit: int = 0) -> DataFrame:
     """Rows whose image points at a dead store, latest draw first."""
-    wanted = draws.where(F.contains(nz("image_url"), F.lit(dead_ref)) & c("status").isin(*statuses) & c("entry_url").isNotNull())
-    ordered = wanted.orderBy(F.desc("draw_date"), "id")
+    ordered = _broken(draws, dead_ref, statuses).orderBy(F.desc("draw_date"), "id")
     return ordered.limit(limit) if limit else ordered
 
 
@@ -144,7 +147,7 @@ def image_repair_plan(draws: DataFrame, dead_ref: str, statuses: list[str], adap
         part = with_once(side.select(key.alias("key"), *side.columns), {"image": image})
         part = part.select(F.lit(kind).alias("kind"), "key", F.lit(place).alias("place"), F.lit(source).alias("source"), "image")
         tagged = part if tagged is None else tagged.unionByName(part)
-    broken = broken_images(draws, dead_ref, statuses)
+    broken = _broken(draws, dead_ref, statuses)  # the joins below keep no order
     slug = F.concat_ws("/", X.origin_of("entry_url"), X.product_slug("entry_url"))
     asked = broken.select("id", F.explode(F.map_from_arrays(F.array(F.lit("url"), F.lit("slug")), F.array(image_key("entry_url"), slug))).alias("kind", "key"))
     hits = asked.join(tagged.where(nz("image") != ""), ["kind", "key"])

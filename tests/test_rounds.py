@@ -81,3 +81,17 @@ def test_rows_that_are_read_twice_are_made_once(spark):
     out = D.split_known(rows, rows.where("n = 2"))
     assert {r["n"]: r["known"] for r in out.collect()} == {1: False, 2: True, 3: False}
     assert made.value == 3
+
+
+def test_repair_plan_sorts_nothing_by_range(spark):
+    draws = spark.createDataFrame([(1, "https://a.example/p/x/", "https://dead.example/1.png", "active", "2026-08-01")], "id long, entry_url string, image_url string, status string, draw_date string")
+    empty = spark.createDataFrame([], "entry_url string, html string")
+    sides = [spark.createDataFrame([], "entry_url string, image_url string"), spark.createDataFrame([("https://A.example/p/x", '<meta property="og:image" content="/i.jpg">')], empty.schema), spark.createDataFrame([], "product_key string, image_url string"), empty]
+    plan = ST.image_repair_plan(draws, "dead.example", ["active"], *sides)
+    assert [tuple(r) for r in plan.collect()] == [(1, "page", "https://A.example/i.jpg")]
+    assert "Sort [" not in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_link_is_bound_once():
+    assert str(X.abs_url(F.col("link"), F.col("page"))).count("link") == 1
+    assert str(X.image_from_html(F.col("html"), F.col("page"))).count("html") == 4
