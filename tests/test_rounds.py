@@ -95,3 +95,13 @@ def test_repair_plan_sorts_nothing_by_range(spark):
 def test_a_link_is_bound_once():
     assert str(X.abs_url(F.col("link"), F.col("page"))).count("link") == 1
     assert str(X.image_from_html(F.col("html"), F.col("page"))).count("html") == 4
+
+
+def test_selectors_meet_only_nodes_that_have_their_attribute():
+    assert S.compiled(".a, [class*='b']").attribute == "class"
+    assert S.compiled("p.a, li").attribute is None
+    assert S.compiled("p [data-x]").attribute == "data-x"
+    nodes = P._Nodes(P._Tree('<p class="a">1</p><div><b data-x="1">2</b></div><li>3</li>').root)
+    assert [nodes.first(S.compiled(s)).text() for s in (".a", "div [data-x]", "li", "li, .a")] == ["1", "2", "3", "1"]
+    assert nodes.first(S.compiled(".none")) is None
+    assert P._regions('<div class="summary"><p>Long enough for a summary</p></div><aside>x</aside>', {})["summary_text"] == "Long enough for a summary"
