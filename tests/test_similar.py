@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+from listflow.operators import similar
 from listflow.operators.similar import _links, near_copies
 
 
@@ -37,3 +38,18 @@ def test_values_of_one_set_are_not_sorted_by_set(spark):
     # the counts lose them before they meet the sets
     assert re.search(r"Filter \(c#\d+L > 1\)", plan)
     assert _links(sets, 80).count() == 0 and _links(sets, 14).count() == 6
+
+
+def test_only_sets_that_may_have_a_copy_are_met(spark, tmp_path, monkeypatch):
+    """Most sets leave by one count of their values; the values of the others alone are joined and sorted."""
+    rows = [(k, 5, [k * 10 + j for j in range(5)]) for k in range(1, 40)]
+    rows += [(100, 5, [1, 2, 3, 4, 5]), (101, 6, [1, 2, 3, 4, 5, 6]), (102, 5, [7001, 7002, 7003, 7004, 7005]), (103, 5, [7001, 7002, 7003, 7004, 7005]), (104, 0, [])]
+    # two rows of one id: neither speaks for the other
+    rows += [(200, 5, [-1, -2, -3, -4, -5]), (200, 5, [8001, 8002, 8003, 8004, 8005]), (201, 5, [8001, 8002, 8003, 8004, 8005])]
+    sets = spark.createDataFrame(rows, "id long, n long, s array<long>")
+    assert sorted(r["id"] for r in similar._linkable(sets, 80, f"{tmp_path}/single").collect()) == [100, 101, 102, 103, 200, 201]
+    seen = []
+    monkeypatch.setattr(similar, "_links", lambda sets, percent, path: seen.append(sets.count()) or _links(sets, percent, path))
+    texts = [(k, " ".join(f"w{k}x{j}" for j in range(20))) for k in range(50)] + [(60, " ".join(f"a{j}" for j in range(40))), (61, " ".join(f"a{j}" for j in range(41)))]
+    got = {r["id"]: r["copy_of"] for r in similar.near_copies(spark.createDataFrame(texts, "id long, t string"), "id", "t").collect()}
+    assert seen == [2] and got == {**{k: None for k, _ in texts}, 61: 60}
