@@ -1,6 +1,8 @@
 """Work that is done once, or only where it is needed."""
 
+import os
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ from listflow.functions import rules
 from listflow.functions import selectors as S
 from listflow.functions import text as X
 from listflow.operators import dedupe as D
+from listflow.operators import ranking as R
+from listflow.operators.reconcile import ReconcileConfig, reconcile
 from listflow.plans import content as C
 from listflow.plans import storage as ST
 from listflow.sources import pages as P
@@ -105,3 +109,41 @@ def test_selectors_meet_only_nodes_that_have_their_attribute():
     assert [nodes.first(S.compiled(s)).text() for s in (".a", "div [data-x]", "li", "li, .a")] == ["1", "2", "3", "1"]
     assert nodes.first(S.compiled(".none")) is None
     assert P._regions('<div class="summary"><p>Long enough for a summary</p></div><aside>x</aside>', {})["summary_text"] == "Long enough for a summary"
+
+
+def test_what_a_written_table_shuffled_is_deleted_with_it(spark, tmp_path):
+    local = spark._jsc.sc().env().blockManager().diskBlockManager()
+    left = lambda: {n for n in local.getAllFiles().mkString("\n").split("\n") if "shuffle_" in n}
+    before = left()
+    out = R.materialised(spark.range(5000).groupBy((F.col("id") % 77).alias("k")).count(), path=f"{tmp_path}/t")
+    for _ in range(50):
+        if left() <= before:
+            break
+        time.sleep(0.2)
+    assert left() <= before and out.count() == 77
+    assert spark.conf.get(R._SHUFFLES_GO, "false") == "false"
+
+
+def test_a_table_in_slices_is_complete_with_its_last_slice(spark, tmp_path):
+    rows = spark.createDataFrame([(str(k),) for k in range(40)] + [(None,)], "u string")
+    path, marks = f"{tmp_path}/t", []
+
+    def make(k):
+        marks.append(os.path.exists(f"{path}/_SUCCESS"))
+        return rows.where(R.in_slice("u", 3, k))
+
+    out = R.written_in_slices(make, 3, path)
+    assert sorted(r["u"] or "" for r in out.collect()) == sorted(r["u"] or "" for r in rows.collect())
+    assert marks == [False] * 3 and os.path.exists(f"{path}/_SUCCESS")
+
+
+def test_slices_of_a_reconciliation_decide_the_same(spark):
+    url = lambda k: None if k % 13 == 0 else "" if k % 17 == 0 else f"https://op.example/p/{k}"
+    fresh = [(k, url(k), f"Win prize {k}", "A prize", 1.0 + (k % 4 == 0), 1000, "2026-09-01T20:00:00+01:00", "https://i.example/a.webp", "cash-prizes", "A description that is long enough.") for k in range(200)]
+    held = [(f"d{k}", url(k), ["draft", "active", "ended"][k % 3], f"Win prize {k}", 1.0, 1000, "2026-09-01T20:00:00+01:00", 1000.0, None, "cat", None) for k in range(0, 200, 2)]
+    fresh = spark.createDataFrame(fresh, "seq long, entry_url string, title string, grand_prize string, ticket_price double, total_entries long, draw_date string, image_url string, category string, description string")
+    stored = spark.createDataFrame(held, "id string, entry_url string, status string, title string, ticket_price double, total_entries long, draw_date string, total_prize_value double, prize_description string, category_id string, category_source string")
+    decide = lambda n: sorted(map(str, reconcile(fresh, stored, ReconcileConfig(now="2026-08-08 12:00:00", publish_cap=7, correct_cap=5, slices=n)).collect()))
+    whole = decide(1)
+    assert len(whole) == 200 and decide(3) == whole
+    assert sum("action='publish'" in r for r in whole) == 7 and sum("action='correct'" in r for r in whole) == 5
