@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from listflow.operators import dedupe as D
 from listflow.operators import reconcile as R
-from listflow.operators.ranking import ensure_checkpoint_dir
+from listflow.operators.ranking import ensure_checkpoint_dir, written_in_slices
 from listflow.streaming import observe as O
 
 CFG = R.ReconcileConfig(now="2026-08-19 10:00:00", publish_cap=3)
@@ -88,3 +88,25 @@ def test_the_stream_leaves_two_versions_and_no_scratch(spark, tmp_path):
     assert O.latest_store(spark, f"{tmp_path}/store", 50).count() == 6
     left = {n for n in set(os.listdir(shared)) - before if n.startswith(("observe-", "reconcile-"))}
     assert not left
+
+
+def test_a_run_is_met_with_the_store_in_slices(spark, tmp_path, monkeypatch):
+    """The versions are those of whole runs, and a batch writes no more of the compared rows than the store needs."""
+    written = []
+    monkeypatch.setattr(O, "SLICES", 2)
+    monkeypatch.setattr(O, "SLICED_FROM", 0)
+    monkeypatch.setattr(O, "written_in_slices", lambda make, slices, path: written.append((os.path.basename(path), slices)) or written_in_slices(make, slices, path))
+    empty = O.current_store(spark, "", -1)
+    first = O.apply_run(empty, reads(spark, 1, range(40)), CFG).checkpoint()
+    second = O.apply_run(first, reads(spark, 2, range(20, 60)), CFG)
+    for run, numbers in ((1, range(40)), (2, range(20, 60))):
+        df = reads(spark, run, numbers).withColumn("captured_at", F.lit(f"2026-08-0{run} 00:00:00").cast("timestamp"))
+        df.union(df).write.mode("overwrite").parquet(f"{tmp_path}/in")
+        O.observe_stream(O.read_captures(spark, f"{tmp_path}/in"), f"{tmp_path}/store", f"{tmp_path}/state", CFG).awaitTermination()
+    store = O.latest_store(spark, f"{tmp_path}/store", 9)
+    assert sorted(store.collect()) == sorted(second.collect()) and published(store) == 3
+    assert store.where("id = sha2(entry_url, 256)").count() == 60
+    assert {s for _, s in written} == {2} and [n for n, _ in written].count("reads") == 2
+    compared = R.reconcile(reads(spark, 1, range(3)), empty, replace(CFG, scratch=f"{tmp_path}/c", unread=("s_id", "captured_at")))
+    assert "s_id" not in compared.columns and "s_id" not in spark.read.parquet(f"{tmp_path}/c/compared").columns
+    assert [r["action"] for r in compared.collect()] == ["insert"] * 3
