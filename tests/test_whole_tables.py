@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from listflow.plans import storage
 from listflow.plans.content import description_checks
 from listflow.sources.feeds import read_inertia
+from queries import inputs
 
 PREFIX = "https://store.example/object/public/pics/"
 
@@ -38,3 +39,22 @@ def test_inertia_repeats_inside_a_list_count_once(spark):
 def test_texts_without_words_are_no_copies(spark):
     rows = spark.createDataFrame([(1, None), (2, ""), (3, " 12 !"), (4, "Some words"), (5, "some WORDS 7"), (6, None)], "seq long, description string")
     assert [r["verdict"] for r in description_checks(rows).orderBy("seq").collect()] == ["ok", "ok", "ok", "ok", "copy", "ok"]
+
+
+def test_rows_of_one_row_group_are_spread_however_many_splits_the_file_has(spark, tmp_path):
+    spark.range(0, 40000, 1, 1).selectExpr("id", "sha2(cast(id as string), 256) AS t").write.parquet(f"{tmp_path}/one")
+    spark.range(0, 40000, 1, 8).selectExpr("id", "sha2(cast(id as string), 256) AS t").write.parquet(f"{tmp_path}/eight")
+    sizes = lambda df: sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "400k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "300k")
+        one, eight = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("one", "eight"))
+        assert one.rdd.getNumPartitions() >= 4 and sizes(one) == [40000]
+        assert sizes(inputs.spread(one)) == [10000] * 4
+        # splits that share the rows already are not shuffled
+        assert inputs.spread(eight) is eight
+        assert inputs.spread(one).select("id").distinct().count() == 40000
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
